@@ -49,6 +49,12 @@ enriched AS (
     (s.processed_us - s.t_us) // 1000 AS lag_ms,
     (s.temperature < -40 OR s.temperature > 140) AS outlier
   FROM stored s),
+touch AS (
+  SELECT event_id, max(arr_us) AS touch_us FROM valid GROUP BY event_id),
+recent AS (
+  SELECT s.device_id, s.event_id, s.t_us, s.temperature, s.voltage,
+    row_number() OVER (PARTITION BY s.device_id ORDER BY t.touch_us DESC, s.event_id DESC) AS position
+  FROM stored s JOIN touch t USING (event_id)),
 status_state AS (
   SELECT device_id, region, t_us AS last_seen_us, status, temperature, voltage FROM (
     SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY t_us DESC, seq DESC) AS r FROM stored) x
@@ -56,12 +62,25 @@ status_state AS (
 dead AS (
   SELECT 'raw-telemetry' AS source_topic, src_partition AS source_partition, src_offset AS source_offset,
     eid, arr_us, proc_us,
-    CASE WHEN eid % 500 = 11 THEN 'invalid JSON'
-         WHEN eid % 500 = 17 THEN 'not an object'
-         WHEN eid % 500 = 13 THEN 'unsupported version'
-         ELSE 'validation' END AS reason_class
+    CASE WHEN eid % 500 = 11 THEN 'invalid JSON: document is not well-formed JSON'
+         WHEN eid % 500 = 17 THEN 'payload must be a JSON object'
+         WHEN eid % 500 = 13 THEN 'unsupported schema_version: 999'
+         ELSE 'validation failed: ' || concat_ws('; ',
+           CASE WHEN eid % 200 = 3 AND (eid // 200) % 3 = 0 THEN 'event.device_id: field required' END,
+           CASE WHEN eid % 200 = 3 AND (eid // 200) % 3 = 1 THEN 'event.timestamp: field required' END,
+           CASE WHEN eid % 200 = 3 AND (eid // 200) % 3 = 2 THEN 'event.temperature: field required' END,
+           CASE WHEN NOT (eid % 200 = 3 AND (eid // 200) % 3 = 2) AND NOT temperature BETWEEN -100 AND 250
+                THEN 'event.temperature: input should be between -100 and 250' END)
+    END AS reason,
+    CASE WHEN eid % 500 = 17 OR (eid % 200 = 3 AND (eid // 200) % 3 = 0) THEN NULL ELSE device_id END AS replay_key
   FROM adapter
   WHERE NOT (temperature BETWEEN -100 AND 250 AND eid % 200 <> 3 AND eid % 500 NOT IN (11, 13, 17))),
+replays AS (
+  SELECT source_topic, source_partition, source_offset, {NOW_US} AS replayed_us FROM dead
+  WHERE source_offset % 3 IN (0, 1)
+  UNION ALL
+  SELECT source_topic, source_partition, source_offset, {NOW_US} + 60000000 FROM dead
+  WHERE source_offset % 3 = 1),
 ledger AS (
   SELECT event_id, eid, device_id, processed_us AS created_us,
     CASE WHEN eid % 7 <> 0 THEN processed_us + 1000000 END AS published_us

@@ -8,7 +8,7 @@ strings (lenient coercion); booleans are never numbers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetline.constants import (
@@ -23,112 +23,144 @@ NUMERIC_KINDS = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 INTEGRAL_KINDS = r"^(TINYINT|SMALLINT|INT|BIGINT)$"
 
 
-def field(parsed: Column, path: str) -> Column:
-    return F.try_variant_get(parsed, path, "variant")
+FIELDS = {
+    "schema_id": "$.schema_id",
+    "event": "$.event",
+    "received_at": "$.received_at",
+    "event.event_id": "$.event.event_id",
+    "event.device_id": "$.event.device_id",
+    "event.timestamp": "$.event.timestamp",
+    "event.temperature": "$.event.temperature",
+    "event.voltage": "$.event.voltage",
+    "event.status": "$.event.status",
+    "event.region": "$.event.region",
+}
 
 
-def kind(parsed: Column, path: str) -> Column:
-    """Variant type name of a field; NULL when the key is missing."""
-    return F.schema_of_variant(field(parsed, path))
+def _slot(name: str) -> str:
+    return "_f_" + name.replace(".", "_")
 
 
-def string_field(parsed: Column, path: str) -> Column:
-    return F.when(kind(parsed, path) == "STRING", F.try_variant_get(parsed, path, "string"))
+def _kind(name: str) -> str:
+    return "_k_" + name.replace(".", "_")
 
 
-def number_field(parsed: Column, path: str) -> Column:
-    k = kind(parsed, path)
-    return F.when(k.rlike(NUMERIC_KINDS) | (k == "STRING"), F.try_variant_get(parsed, path, "double"))
+def extract_fields(df: DataFrame, parsed: str = "_v") -> DataFrame:
+    """Stage 1+2: every contract field once as a variant, then its type name
+    (NULL when the key is missing, ``VOID`` for JSON null)."""
+    fields = df.select("*", *[F.try_variant_get(F.col(parsed), path, "variant").alias(_slot(n))
+                              for n, path in FIELDS.items()])
+    return fields.select("*", *[F.schema_of_variant(_slot(n)).alias(_kind(n)) for n in FIELDS])
 
 
-def timestamp_field(parsed: Column, path: str) -> Column:
-    text = string_field(parsed, path)
+def _missing(name: str) -> Column:
+    return F.col(_kind(name)).isNull() | (F.col(_kind(name)) == "VOID")
+
+
+def _string(name: str) -> Column:
+    return F.when(F.col(_kind(name)) == "STRING", F.try_variant_get(F.col(_slot(name)), "$", "string"))
+
+
+def _number(name: str) -> Column:
+    k = F.col(_kind(name))
+    return F.when(k.rlike(NUMERIC_KINDS) | (k == "STRING"),
+                  F.try_variant_get(F.col(_slot(name)), "$", "double"))
+
+
+def _timestamp(text: Column) -> Column:
     return F.when(text.rlike(ISO_DATETIME), text.try_cast("timestamp"))
 
 
-def _missing(parsed: Column, path: str) -> Column:
-    return field(parsed, path).isNull() | F.is_variant_null(field(parsed, path))
+def typed_fields(df: DataFrame) -> DataFrame:
+    """Stage 3: typed candidate values (NULL when the type is wrong)."""
+    strings = ["event.event_id", "event.device_id", "event.status", "event.region",
+               "event.timestamp", "received_at"]
+    numbers = ["event.temperature", "event.voltage"]
+    staged = df.select("*", *[_string(n).alias("_s_" + _slot(n)[3:]) for n in strings],
+                       *[_number(n).alias("_n_" + _slot(n)[3:]) for n in numbers],
+                       F.when(F.col(_kind("schema_id")).rlike(INTEGRAL_KINDS),
+                              F.try_variant_get(F.col(_slot("schema_id")), "$", "bigint"))
+                       .alias("_n_schema_id"))
+    return staged.select("*", _timestamp(F.col("_s_event_timestamp")).alias("_t_event_timestamp"),
+                         _timestamp(F.col("_s_received_at")).alias("_t_received_at"))
 
 
 def _rule(name: str, code: str, failed: Column) -> Column:
     return F.when(failed, F.lit(f"{name}: {code}"))
 
 
-def _string_rules(parsed: Column, path: str, name: str, min_len: int, max_len: int) -> list[Column]:
-    text = string_field(parsed, path)
+def _string_rules(name: str, min_len: int, max_len: int) -> list[Column]:
+    text = F.col("_s_" + _slot(name)[3:])
     return [
-        _rule(name, "field required", _missing(parsed, path)),
-        _rule(name, "input should be a valid string", ~_missing(parsed, path) & text.isNull()),
+        _rule(name, "field required", _missing(name)),
+        _rule(name, "input should be a valid string", ~_missing(name) & text.isNull()),
         _rule(name, f"length should be between {min_len} and {max_len}",
               text.isNotNull() & ~F.length(text).between(min_len, max_len)),
     ]
 
 
-def _number_rules(parsed: Column, path: str, name: str, low: float, high: float) -> list[Column]:
-    number = number_field(parsed, path)
+def _number_rules(name: str, low: float, high: float) -> list[Column]:
+    number = F.col("_n_" + _slot(name)[3:])
     return [
-        _rule(name, "field required", _missing(parsed, path)),
-        _rule(name, "input should be a valid number", ~_missing(parsed, path) & number.isNull()),
+        _rule(name, "field required", _missing(name)),
+        _rule(name, "input should be a valid number", ~_missing(name) & number.isNull()),
         _rule(name, f"input should be between {low:g} and {high:g}",
               number.isNotNull() & ~(number.between(low, high) & ~F.isnan(number))),
     ]
 
 
-def _timestamp_rules(parsed: Column, path: str, name: str) -> list[Column]:
+def _timestamp_rules(name: str) -> list[Column]:
     return [
-        _rule(name, "field required", _missing(parsed, path)),
+        _rule(name, "field required", _missing(name)),
         _rule(name, "input should be a valid datetime",
-              ~_missing(parsed, path) & timestamp_field(parsed, path).isNull()),
+              ~_missing(name) & F.col("_t_" + _slot(name)[3:]).isNull()),
     ]
 
 
-def envelope_errors(parsed: Column, upcast: Column) -> Column:
+def envelope_errors(upcast: Column) -> Column:
     """Array of all rule violations of a version-0/1 envelope (empty = valid).
 
+    Reads the columns of :func:`extract_fields` and :func:`typed_fields`;
     ``upcast`` marks version-0 envelopes whose ``schema_id`` becomes 0.
     """
-    schema_kind = kind(parsed, "$.schema_id")
-    schema_id = F.try_variant_get(parsed, "$.schema_id", "bigint")
-    event_kind = kind(parsed, "$.event")
+    schema_kind = F.col(_kind("schema_id"))
+    schema_id = F.col("_n_schema_id")
     rules = [
-        _rule("schema_id", "field required", ~upcast & _missing(parsed, "$.schema_id")),
+        _rule("schema_id", "field required", ~upcast & _missing("schema_id")),
         _rule("schema_id", "input should be a valid integer",
-              ~upcast & ~_missing(parsed, "$.schema_id")
-              & (~schema_kind.rlike(INTEGRAL_KINDS) | schema_id.isNull())),
+              ~upcast & ~_missing("schema_id") & schema_id.isNull()),
         _rule("schema_id", "input should be greater than or equal to 0",
               ~upcast & schema_kind.rlike(INTEGRAL_KINDS) & (schema_id < 0)),
-        _rule("event", "field required", _missing(parsed, "$.event")),
+        _rule("event", "field required", _missing("event")),
         _rule("event", "input should be an object",
-              ~_missing(parsed, "$.event") & ~event_kind.startswith("OBJECT")),
-        *_timestamp_rules(parsed, "$.received_at", "received_at"),
-        *_string_rules(parsed, "$.event.event_id", "event.event_id", 1, EVENT_ID_MAX_LEN),
-        *_string_rules(parsed, "$.event.device_id", "event.device_id", 1, DEVICE_ID_MAX_LEN),
-        *_timestamp_rules(parsed, "$.event.timestamp", "event.timestamp"),
-        *_number_rules(parsed, "$.event.temperature", "event.temperature",
-                       TEMPERATURE_MIN, TEMPERATURE_MAX),
-        *_number_rules(parsed, "$.event.voltage", "event.voltage", VOLTAGE_MIN, VOLTAGE_MAX),
-        _rule("event.status", "field required", _missing(parsed, "$.event.status")),
+              ~_missing("event") & ~F.col(_kind("event")).startswith("OBJECT")),
+        *_timestamp_rules("received_at"),
+        *_string_rules("event.event_id", 1, EVENT_ID_MAX_LEN),
+        *_string_rules("event.device_id", 1, DEVICE_ID_MAX_LEN),
+        *_timestamp_rules("event.timestamp"),
+        *_number_rules("event.temperature", TEMPERATURE_MIN, TEMPERATURE_MAX),
+        *_number_rules("event.voltage", VOLTAGE_MIN, VOLTAGE_MAX),
+        _rule("event.status", "field required", _missing("event.status")),
         _rule("event.status", "input should be 'OK', 'WARNING' or 'FAILED'",
-              ~_missing(parsed, "$.event.status")
-              & ~F.coalesce(string_field(parsed, "$.event.status").isin(*STATUSES), F.lit(False))),
-        *_string_rules(parsed, "$.event.region", "event.region", 1, REGION_MAX_LEN),
+              ~_missing("event.status")
+              & ~F.coalesce(F.col("_s_event_status").isin(*STATUSES), F.lit(False))),
+        *_string_rules("event.region", 1, REGION_MAX_LEN),
     ]
     return F.array_compact(F.array(*rules))
 
 
-def event_fields(parsed: Column, upcast: Column) -> list[Column]:
+def event_fields(upcast: Column) -> list[Column]:
     """Typed columns of a valid envelope (meaningful only when errors are empty)."""
     return [
-        F.when(upcast, F.lit(0)).otherwise(F.try_variant_get(parsed, "$.schema_id", "bigint"))
-        .cast("bigint").alias("schema_id"),
-        string_field(parsed, "$.event.event_id").alias("event_id"),
-        string_field(parsed, "$.event.device_id").alias("device_id"),
-        timestamp_field(parsed, "$.event.timestamp").alias("timestamp"),
-        number_field(parsed, "$.event.temperature").alias("temperature"),
-        number_field(parsed, "$.event.voltage").alias("voltage"),
-        string_field(parsed, "$.event.status").alias("status"),
-        string_field(parsed, "$.event.region").alias("region"),
-        timestamp_field(parsed, "$.received_at").alias("received_at"),
+        F.when(upcast, F.lit(0)).otherwise(F.col("_n_schema_id")).cast("bigint").alias("schema_id"),
+        F.col("_s_event_event_id").alias("event_id"),
+        F.col("_s_event_device_id").alias("device_id"),
+        F.col("_t_event_timestamp").alias("timestamp"),
+        F.col("_n_event_temperature").alias("temperature"),
+        F.col("_n_event_voltage").alias("voltage"),
+        F.col("_s_event_status").alias("status"),
+        F.col("_s_event_region").alias("region"),
+        F.col("_t_received_at").alias("received_at"),
     ]
 
 

@@ -78,10 +78,11 @@ def previous_reading(stored: DataFrame) -> DataFrame:
         value=value, out="_prev")
 
 
-def _window_totals(rows: DataFrame) -> DataFrame:
+def _window_totals(stored: DataFrame) -> DataFrame:
     """Sum and count of temperatures of *all* stored rows of the device with
     timestamp in ``[t - 5 min, t]``, per event (the row itself included)."""
-    base = rows.select("device_id", "event_id", "_ts_us", "temperature")
+    base = stored.select("device_id", "event_id", F.unix_micros("timestamp").alias("_ts_us"),
+                         "temperature")
     own = base.withColumn("_g", F.expr(f"_ts_us div {WINDOW_US}")).withColumn("_query", F.lit(True))
     spill = (base.withColumn("_g", F.expr(f"_ts_us div {WINDOW_US} + 1"))
              .withColumn("_query", F.lit(False)))
@@ -93,8 +94,11 @@ def _window_totals(rows: DataFrame) -> DataFrame:
             .filter("_query").drop("_query"))
 
 
-def _later_arrivals_in_window(rows: DataFrame) -> DataFrame:
-    """Per event: sum and count of rows that arrived later yet lie in its window."""
+def _later_arrivals_in_window(stored: DataFrame, rows: DataFrame) -> DataFrame:
+    """Per event: sum and count of rows that arrived later yet lie in its window.
+
+    ``rows`` carries ``_prev`` (to find late rows); candidates come from ``stored``.
+    """
     late = rows.filter(F.col("_prev").isNotNull() & (F.col("_ts_us") <= F.col("_prev.ts_us"))).select(
         "device_id",
         F.col("_ts_us").alias("_p_ts"),
@@ -103,9 +107,9 @@ def _later_arrivals_in_window(rows: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.expr(f"_ts_us div {SUB_BUCKET_US}"),
                              F.expr(f"(_ts_us + {WINDOW_US}) div {SUB_BUCKET_US}"))).alias("_s"),
     )
-    cand = rows.select("device_id", "event_id", F.col("_ts_us").alias("_c_ts"),
-                       arrival_key().alias("_c_arr"),
-                       F.expr(f"_ts_us div {SUB_BUCKET_US}").alias("_s"))
+    cand = stored.select("device_id", "event_id", F.unix_micros("timestamp").alias("_c_ts"),
+                         arrival_key().alias("_c_arr")) \
+        .withColumn("_s", F.expr(f"_c_ts div {SUB_BUCKET_US}"))
     pairs = cand.join(late, ["device_id", "_s"]).where(
         (F.col("_p_arr") > F.col("_c_arr"))
         & (F.col("_p_ts") >= F.col("_c_ts") - WINDOW_US) & (F.col("_p_ts") <= F.col("_c_ts")))
@@ -118,10 +122,12 @@ def enrich(stored: DataFrame) -> DataFrame:
 
     ``stored`` holds the first delivery of every event with the typed event
     fields, ``received_at``, ``processed_at`` and the arrival order columns.
+    It is read three times (running arg-max, window totals, late-row
+    candidates), so it should be a materialised table, not a long lineage.
     """
     prev = previous_reading(stored)
-    totals = _window_totals(prev)
-    later = _later_arrivals_in_window(prev)
+    totals = _window_totals(stored)
+    later = _later_arrivals_in_window(stored, prev)
     joined = prev.join(totals, "event_id").join(later, "event_id", "left")
     n = F.col("_a_n") - 1 - F.coalesce(F.col("_b_n"), F.lit(0))
     s = F.col("_a_sum") - F.col("temperature") - F.coalesce(F.col("_b_sum"), F.lit(0.0))

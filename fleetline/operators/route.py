@@ -43,11 +43,12 @@ def route(deliveries: DataFrame, processing_time: Callable[[DataFrame], Column]
         F.when(F.col("_decode").isNull(), decode.is_upcast(v)).alias("_upcast"),
     )
     upcast = F.coalesce(F.col("_upcast"), F.lit(False))
-    checked = staged.select(
+    typed = validate.typed_fields(validate.extract_fields(staged, "_v"))
+    checked = typed.select(
         "*",
         F.when(F.col("_decode").isNull() & F.col("_version").isNull(),
-               validate.envelope_errors(v, upcast)).alias("errors"),
-        *validate.event_fields(v, upcast),
+               validate.envelope_errors(upcast)).alias("errors"),
+        *validate.event_fields(upcast),
     )
     reason = F.coalesce(
         F.col("_decode"), F.col("_version"),

@@ -16,15 +16,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetline.operators import state as S
 from fleetline.plans.pipeline import IngestResult, ingest
 from fleetline.session import prepare_session
 from fleetline.sources import fixture
-from fleetline.operators import state as S
 
 _LOCK = threading.Lock()
 _CATALOGS: dict[tuple[str, str], "FixtureCatalog"] = {}
 
 
+def _persist(df: DataFrame, _name: str) -> DataFrame:
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 class FixtureCatalog:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = prepare_session(spark)
@@ -36,22 +40,29 @@ class FixtureCatalog:
 
     @cached_property
     def deliveries(self) -> DataFrame:
-        return fixture.deliveries(self.table("events"))
+        return fixture.deliveries(self.table("events")).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def ingest(self) -> IngestResult:
-        result = ingest(self.deliveries, fixture.fixture_processing_time)
-        result.routed = result.routed.persist(StorageLevel.MEMORY_AND_DISK)
-        result.valid = result.routed.filter(F.col("reason").isNull()).drop("reason", "payload", "errors")
-        result.events = result.events.persist(StorageLevel.MEMORY_AND_DISK)
-        result.device_status = S.device_status(result.events)
-        result.ledger = S.ledger_rows(result.events)
-        return result
+        return ingest(self.deliveries, fixture.fixture_processing_time, materialize=_persist)
 
     @property
     def events(self) -> DataFrame:
         return self.ingest.events
 
+    @property
+    def status(self) -> DataFrame:
+        return self.ingest.device_status
+
+    @property
+    def dead_letters(self) -> DataFrame:
+        return self.ingest.dead_letters
+
+    @cached_property
+    def replays(self) -> DataFrame:
+        from fleetline.plans.deadletter import fixture_replays
+        return fixture_replays(self.dead_letters, self.params.now)
+
     @cached_property
     def acks(self) -> DataFrame:
         return fixture.fixture_acks(self.ingest.ledger)

@@ -44,13 +44,24 @@ def dead_letter_rows(failed: DataFrame) -> DataFrame:
     )
 
 
+Materialize = Callable[[DataFrame, str], DataFrame]
+
+
+def lazy(df: DataFrame, _name: str) -> DataFrame:
+    return df
+
+
 def ingest(deliveries: DataFrame, processing_time: Callable[[DataFrame], Column] | None = None,
-           batch_id: int = 0) -> IngestResult:
-    routed = R.route(deliveries, processing_time)
+           batch_id: int = 0, materialize: Materialize = lazy) -> IngestResult:
+    """One ingest run.  ``materialize(df, name)`` is called on the frames that
+    are read more than once (``routed``, ``stored``, ``events``): a job passes
+    a writer to its table folder (or ``checkpoint``), a micro-batch ``persist``."""
+    routed = materialize(R.route(deliveries, processing_time), "routed")
     valid = R.valid_deliveries(routed)
-    stored = E.first_arrivals(valid)
-    events = E.enrich(stored).withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
-        .withColumn("event_date", F.to_date("timestamp"))
+    stored = materialize(E.first_arrivals(valid), "stored")
+    events = materialize(
+        E.enrich(stored).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .withColumn("event_date", F.to_date("timestamp")), "events")
     return IngestResult(
         routed=routed,
         valid=valid,

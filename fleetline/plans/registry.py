@@ -33,3 +33,236 @@ def register(name: str):
 def enriched_events(c):
     """The fully enriched stored event rows (flagship)."""
     return c.events.select(*EVENT_COLUMNS)
+
+
+# --- E1-E6: single enrichment columns and storage ---------------------------
+
+@register("event_lag")
+def event_lag(c):
+    """Processing minus event time in ms, truncated toward zero."""
+    return c.events.select("event_id", "timestamp", "processed_at", "event_lag_ms")
+
+
+@register("outlier_flag")
+def outlier_flag(c):
+    """Temperature outside (-40, 140), strict."""
+    return c.events.select("event_id", "temperature", "outlier_detected")
+
+
+@register("voltage_drop")
+def voltage_drop(c):
+    """Drop of 2.5 or more against the newest earlier-arrived reading."""
+    return c.events.select("event_id", "device_id", "voltage", "voltage_drop_detected")
+
+
+@register("avg_temperature_5m")
+def avg_temperature_5m(c):
+    """Trailing 5-minute mean over earlier arrivals (own value if none)."""
+    return c.events.select("event_id", "device_id", "timestamp", "temperature", "avg_temperature_5m")
+
+
+@register("dedup_first")
+def dedup_first(c):
+    """E5: the stored (first) delivery of every event id."""
+    return c.events.select("event_id", "device_id", "source_partition", "source_offset", "arrival_ts")
+
+
+@register("duplicate_counts")
+def duplicate_counts(c):
+    """Valid deliveries per re-delivered event id and the ignored duplicates."""
+    from pyspark.sql import functions as F
+    return (c.ingest.valid.groupBy("event_id").agg(F.count(F.lit(1)).alias("deliveries"))
+            .filter("deliveries > 1").withColumn("duplicates", F.col("deliveries") - 1))
+
+
+# --- T1-T8: state tables ------------------------------------------------------
+
+@register("device_status")
+def device_status_q(c):
+    """Last-writer-wins device state."""
+    return c.status.select("device_id", "region", "last_seen", "status", "temperature", "voltage")
+
+
+@register("recent_50")
+def recent_50(c):
+    """Per-device recent list by last touch (50 newest, 24 h expiry)."""
+    from fleetline.operators.state import recent_events
+    return recent_events(c.ingest.valid, c.events, now=c.params.now).select(
+        "device_id", "event_id", "position")
+
+
+@register("latest_touched")
+def latest_touched(c):
+    """The cached latest value per device (last touched stored row)."""
+    from fleetline.operators.state import recent_events
+    return recent_events(c.ingest.valid, c.events, now=c.params.now, size=1).select(
+        "device_id", "event_id", "timestamp", "temperature", "voltage")
+
+
+@register("ledger_insert")
+def ledger_insert(c):
+    """T4: one delivery-ledger row per inserted event."""
+    return c.ingest.ledger.select("event_id", "topic", "message_key", "created_at")
+
+
+@register("ledger_pending")
+def ledger_pending(c):
+    """T5: the oldest 100 pending ledger rows (a dispatcher claim)."""
+    from fleetline.plans.ledger import claim_pending
+    return claim_pending(c.ingest.ledger, c.acks, 100).select("event_id", "message_key", "created_at")
+
+
+@register("ledger_after_publish")
+def ledger_after_publish(c):
+    """Ledger after acknowledgements: published rows carry their ack time."""
+    return c.ledger.select("event_id", "created_at", "published_at")
+
+
+@register("ledger_backlog")
+def ledger_backlog(c):
+    """Pending count and age of the oldest pending row at ``now``."""
+    from fleetline.plans.ledger import backlog
+    return backlog(c.ledger, c.params.now)
+
+
+@register("partition_lag")
+def partition_lag(c):
+    """Consumer lag per source partition at a probe instant."""
+    from fleetline.plans.ledger import partition_lag as lag
+    return lag(c.ingest.routed, c.params.cutoff)
+
+
+# --- Q1-Q13: read queries -------------------------------------------------------
+
+@register("devices_by_region")
+def devices_by_region(c):
+    """Q1 with region = us-east."""
+    from fleetline.plans import queries as Q
+    return Q.devices(c.status, "us-east")
+
+
+@register("device_history")
+def device_history(c):
+    """Q2 for sensor-00001, hours 1-5, limit 500."""
+    from fleetline.plans import queries as Q
+    from fleetline.sources.fixture import BASE_US
+    from pyspark.sql import functions as F
+    h = 3600 * 1000000
+    return Q.device_history(c.events, "sensor-00001", F.timestamp_micros(F.lit(BASE_US + h)),
+                            F.timestamp_micros(F.lit(BASE_US + 5 * h)), None, 500)
+
+
+@register("latest_per_device")
+def latest_per_device(c):
+    """Q3 fleet-wide."""
+    from fleetline.plans import queries as Q
+    return Q.latest_per_device(c.events)
+
+
+@register("pipeline_stats")
+def pipeline_stats(c):
+    """Q5 with prefix ``sensor_0001`` (the underscore is a wildcard)."""
+    from fleetline.plans import queries as Q
+    return Q.pipeline_stats(c.events, c.dead_letters, c.ledger, "sensor_0001")
+
+
+@register("status_counts")
+def status_counts(c):
+    from fleetline.plans import queries as Q
+    return Q.status_counts(c.status)
+
+
+@register("region_health")
+def region_health(c):
+    from fleetline.plans import queries as Q
+    return Q.region_health(c.status)
+
+
+@register("minute_trend")
+def minute_trend(c):
+    from fleetline.plans import queries as Q
+    return Q.minute_trend(c.events)
+
+
+@register("latest_seen_devices")
+def latest_seen_devices(c):
+    from fleetline.plans import queries as Q
+    return Q.latest_seen_devices(c.status)
+
+
+@register("reliability_scalars")
+def reliability_scalars(c):
+    from fleetline.plans import queries as Q
+    return Q.reliability_scalars(c.events, c.dead_letters, c.replays, c.ledger, c.status, c.params.now)
+
+
+@register("region_summary")
+def region_summary(c):
+    """Q11 for every region of the fleet plus one region without devices."""
+    from fleetline.plans import queries as Q
+    from pyspark.sql import functions as F
+    asked = c.status.select("region").union(
+        c.status.limit(1).select(F.lit("ap-north").alias("region")))
+    return Q.region_summary(c.events, asked, c.params.now)
+
+
+@register("alerts")
+def alerts(c):
+    from fleetline.plans import queries as Q
+    return Q.alerts(c.events, 100)
+
+
+@register("fleet_summary")
+def fleet_summary(c):
+    from fleetline.plans import queries as Q
+    return Q.fleet_summary(c.status)
+
+
+@register("incident_list")
+def incident_list(c):
+    from fleetline.plans import queries as Q
+    return Q.incident_list(c.events)
+
+
+# --- L1-L6: dead-letter triage and replay --------------------------------------
+
+@register("dlq_list")
+def dlq_list(c):
+    from fleetline.plans import deadletter as L
+    return L.list_errors(c.dead_letters, c.replays, 20)
+
+
+@register("dlq_by_reason")
+def dlq_by_reason(c):
+    from fleetline.plans import deadletter as L
+    return L.by_reason(c.dead_letters)
+
+
+@register("dlq_restore")
+def dlq_restore(c):
+    from fleetline.plans import deadletter as L
+    from pyspark.sql import functions as F
+    r = L.restore(c.dead_letters)
+    return r.select(*L.COORDS, "restore_kind", "replay_key",
+                    F.when(F.col("restore_kind") == "raw", F.length("replay_bytes")).alias("raw_bytes"),
+                    F.when(F.col("restore_kind") == "raw", F.col("replay_bytes").cast("string"))
+                    .alias("raw_text"))
+
+
+@register("dlq_replay_plan")
+def dlq_replay_plan(c):
+    """L5 for every dead letter of partition 0 plus one coordinate that does not exist."""
+    from fleetline.plans import deadletter as L
+    from pyspark.sql import functions as F
+    asked = c.dead_letters.filter("source_partition = 0").select(*L.COORDS)
+    missing = c.dead_letters.limit(1).select(F.col("source_topic"), F.lit(0).alias("source_partition"),
+                                             F.lit(-1).cast("bigint").alias("source_offset"))
+    return L.replay_plan(c.dead_letters, c.replays, asked.unionByName(missing)).select(
+        *L.COORDS, "found", "next_replay_count", "executed",
+        F.split("reason", ":").getItem(0).alias("reason_class"))
+
+
+@register("dlq_after_replay")
+def dlq_after_replay(c):
+    from fleetline.plans import deadletter as L
+    return L.with_replays(c.dead_letters, c.replays).select(*L.COORDS, "replay_count", "replayed_at")
