@@ -9,24 +9,31 @@ many queries over the same directory do not repeat it.
 from __future__ import annotations
 
 import threading
+import uuid
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetline.operators import state as S
 from fleetline.plans.pipeline import IngestResult, ingest
-from fleetline.session import prepare_session
+from fleetline.session import checkpoint_dir, prepare_session
 from fleetline.sources import fixture
 
 _LOCK = threading.Lock()
 _CATALOGS: dict[tuple[str, str], "FixtureCatalog"] = {}
 
 
-def _persist(df: DataFrame, _name: str) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table under the session's checkpoint folder
+    and read it back: cuts the lineage (small plans, no recomputation after an
+    executor loss) and keeps column pruning and filter pushdown."""
+    spark = df.sparkSession
+    root = checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 class FixtureCatalog:
@@ -40,11 +47,11 @@ class FixtureCatalog:
 
     @cached_property
     def deliveries(self) -> DataFrame:
-        return fixture.deliveries(self.table("events")).persist(StorageLevel.MEMORY_AND_DISK)
+        return write_table(fixture.deliveries(self.table("events")), "deliveries")
 
     @cached_property
     def ingest(self) -> IngestResult:
-        return ingest(self.deliveries, fixture.fixture_processing_time, materialize=_persist)
+        return ingest(self.deliveries, fixture.fixture_processing_time, materialize=write_table)
 
     @property
     def events(self) -> DataFrame:

@@ -266,3 +266,54 @@ def dlq_replay_plan(c):
 def dlq_after_replay(c):
     from fleetline.plans import deadletter as L
     return L.with_replays(c.dead_letters, c.replays).select(*L.COORDS, "replay_count", "replayed_at")
+
+
+# --- R1-R6: retention and hourly roll-up -----------------------------------------
+
+@register("retention_inspect")
+def retention_inspect(c):
+    from fleetline.plans import retention as RT
+    return RT.inspect(c.events, c.ledger, c.params.cutoff)
+
+
+@register("retention_batch")
+def retention_batch(c):
+    """R2 with a batch of 1000 (the batch bound is the feature)."""
+    from fleetline.plans import retention as RT
+    return RT.select_batch(c.events, c.ledger, c.params.cutoff, 1000).select("event_id", "timestamp")
+
+
+@register("hourly_rollup")
+def hourly_rollup(c):
+    """R3 over every stored event."""
+    from fleetline.plans import retention as RT
+    return RT.exposed(RT.rollup(c.events))
+
+
+@register("rollup_merge")
+def rollup_merge(c):
+    """Eligible events rolled up in two batches (first 1000, then the rest), merged."""
+    from fleetline.plans import retention as RT
+    first = RT.select_batch(c.events, c.ledger, c.params.cutoff, 1000).select("event_id")
+    eligible = RT.select_batch(c.events, c.ledger, c.params.cutoff, None).select("event_id")
+    ev = c.events
+    a = RT.rollup(ev.join(first, "event_id", "left_semi"))
+    b = RT.rollup(ev.join(eligible.join(first, "event_id", "left_anti"), "event_id", "left_semi"))
+    return RT.exposed(RT.merge(a, b))
+
+
+@register("retention_remaining")
+def retention_remaining(c):
+    """Rows left in the event table and the ledger after one full pass."""
+    from fleetline.plans import retention as RT
+    from pyspark.sql import functions as F
+    r = RT.run(c.events, c.ledger, None, c.params.cutoff, None, execute=True)
+    return (r.events.agg(F.lit("telemetry_events").alias("table_name"), F.count(F.lit(1)).alias("rows"))
+            .unionByName(r.ledger.agg(F.lit("event_outbox").alias("table_name"), F.count(F.lit(1)).alias("rows"))))
+
+
+@register("retention_report")
+def retention_report(c):
+    """Report of an executed pass with a batch bound of 1000."""
+    from fleetline.plans import retention as RT
+    return RT.run(c.events, c.ledger, None, c.params.cutoff, 1000, execute=True).report
