@@ -45,10 +45,13 @@ def _kind(name: str) -> str:
     return "_k_" + name.replace(".", "_")
 
 
-def extract_fields(df: DataFrame, parsed: str = "_v") -> DataFrame:
+def extract_fields(df: DataFrame, parsed: str = "_v", event_path: str = "$.event") -> DataFrame:
     """Stage 1+2: every contract field once as a variant, then its type name
-    (NULL when the key is missing, ``VOID`` for JSON null)."""
-    fields = df.select("*", *[F.try_variant_get(F.col(parsed), path, "variant").alias(_slot(n))
+    (NULL when the key is missing, ``VOID`` for JSON null).  ``event_path``
+    is ``"$"`` for a bare event (the ingestion edge)."""
+    def path_of(p: str) -> str:
+        return p if not p.startswith("$.event") else event_path + p[len("$.event"):]
+    fields = df.select("*", *[F.try_variant_get(F.col(parsed), path_of(path), "variant").alias(_slot(n))
                               for n, path in FIELDS.items()])
     return fields.select("*", *[F.schema_of_variant(_slot(n)).alias(_kind(n)) for n in FIELDS])
 
@@ -149,6 +152,25 @@ def envelope_errors(upcast: Column) -> Column:
     return F.array_compact(F.array(*rules))
 
 
+def edge_event_errors() -> Column:
+    """Rule violations of a bare event at the ingestion edge (the event id is
+    optional there: a missing one is filled in)."""
+    rules = [
+        _rule("event_id", "input should be a valid string",
+              ~_missing("event.event_id") & F.col("_s_event_event_id").isNull()),
+        *[r for r in _string_rules("event.device_id", 1, DEVICE_ID_MAX_LEN)],
+        *_timestamp_rules("event.timestamp"),
+        *_number_rules("event.temperature", TEMPERATURE_MIN, TEMPERATURE_MAX),
+        *_number_rules("event.voltage", VOLTAGE_MIN, VOLTAGE_MAX),
+        _rule("event.status", "field required", _missing("event.status")),
+        _rule("event.status", "input should be 'OK', 'WARNING' or 'FAILED'",
+              ~_missing("event.status")
+              & ~F.coalesce(F.col("_s_event_status").isin(*STATUSES), F.lit(False))),
+        *_string_rules("event.region", 1, REGION_MAX_LEN),
+    ]
+    return F.array_compact(F.array(*rules))
+
+
 def event_fields(upcast: Column) -> list[Column]:
     """Typed columns of a valid envelope (meaningful only when errors are empty)."""
     return [

@@ -70,3 +70,13 @@ def ingest(deliveries: DataFrame, processing_time: Callable[[DataFrame], Column]
         device_status=S.device_status(events),
         ledger=S.ledger_rows(events),
     )
+
+
+def incremental_store(valid_batch: DataFrame, store: DataFrame | None, batch_id: int) -> DataFrame:
+    """Insert-if-absent: first arrivals of the batch whose id is not stored yet
+    (``left_anti``, not ``NOT IN``), appended under ``batch_id``."""
+    first = E.first_arrivals(valid_batch)
+    if store is not None:
+        first = first.join(store.select("event_id"), "event_id", "left_anti")
+    first = first.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    return first if store is None else store.unionByName(first)

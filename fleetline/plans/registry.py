@@ -317,3 +317,137 @@ def retention_report(c):
     """Report of an executed pass with a batch bound of 1000."""
     from fleetline.plans import retention as RT
     return RT.run(c.events, c.ledger, None, c.params.cutoff, 1000, execute=True).report
+
+
+# --- V1-V7: decode, normalise, validate, route ---------------------------------
+
+def _outcome():
+    from pyspark.sql import functions as F
+    r = F.col("reason")
+    return (F.when(r.isNull(), "processed")
+            .when(r.startswith("invalid JSON"), "invalid_json")
+            .when(r == "payload must be a JSON object", "not_object")
+            .when(r.startswith("unsupported schema_version"), "unsupported_version")
+            .otherwise("invalid_fields"))
+
+
+@register("decode_route")
+def decode_route(c):
+    """V1: decode outcome per delivery; the restorable payload of undecodable bytes."""
+    from pyspark.sql import functions as F
+    r = c.ingest.routed
+    kind = F.when(F.col("reason").startswith("invalid JSON"), "invalid_json") \
+        .when(F.col("reason") == "payload must be a JSON object", "not_object").otherwise("object")
+    return r.select("source_partition", "source_offset", kind.alias("decode_outcome"),
+                    F.when(kind == "invalid_json", F.col("payload")).alias("payload"))
+
+
+@register("schema_upcast")
+def schema_upcast(c):
+    """V2: declared version, normalised schema id, upcast flag, version reason."""
+    from fleetline.functions import decode
+    from pyspark.sql import functions as F
+    d = c.deliveries.select(F.col("partition").alias("source_partition"),
+                            F.col("offset").alias("source_offset"),
+                            decode.parse_message(F.col("value")).alias("_v"))
+    obj = d.filter(F.schema_of_variant("_v").startswith("OBJECT"))
+    v = F.col("_v")
+    upcast = decode.is_upcast(v)
+    return obj.select(
+        "source_partition", "source_offset",
+        decode.version_number(v).cast("bigint").alias("declared_version"),
+        F.coalesce(upcast, F.lit(False)).alias("upcast"),
+        F.when(upcast, F.lit(0)).otherwise(F.try_variant_get(v, "$.schema_id", "bigint")).alias("schema_id"),
+        decode.version_failure(v).alias("version_reason"))
+
+
+@register("validate_fields")
+def validate_fields(c):
+    """V3-V5: every field error of the envelopes that failed validation."""
+    from pyspark.sql import functions as F
+    r = c.ingest.routed.filter(F.col("reason").startswith("validation failed"))
+    return r.select("source_partition", "source_offset", F.array_join("errors", "; ").alias("errors"))
+
+
+@register("route_counts")
+def route_counts(c):
+    """V6: exactly one outcome per delivery."""
+    from pyspark.sql import functions as F
+    return c.ingest.routed.groupBy(_outcome().alias("outcome")).agg(F.count(F.lit(1)).alias("deliveries"))
+
+
+@register("contract_conformance")
+def contract_conformance(c):
+    """V7: strict contract report per declared version (JSON schemas v0/v1)."""
+    from fleetline.plans.contracts import conformance
+    return conformance(c.deliveries)
+
+
+# --- S1-S8: sources and sinks ------------------------------------------------------
+
+@register("raw_deliveries")
+def raw_deliveries(c):
+    """The raw log as the stream source delivers it."""
+    from pyspark.sql import functions as F
+    return c.deliveries.select(F.col("key").cast("string").alias("key"), "topic", "partition", "offset",
+                               "timestamp", F.length("value").alias("value_bytes"))
+
+
+@register("envelope_build")
+def envelope_build(c):
+    """Edge envelopes (schema id 1, receipt stamp) of the accepted edge events."""
+    from fleetline.plans.edge import accepted_envelopes, edge_elements
+    from pyspark.sql import functions as F
+    env = accepted_envelopes(edge_elements(c.table("events")), schema_id=1)
+    return env.select("event_id", "device_id", "schema_version", "schema_id", "received_at",
+                      F.get_json_object("envelope", "$.event.status").alias("envelope_status"))
+
+
+@register("batch_accept_reject")
+def batch_accept_reject(c):
+    """S3: per batch request: accepted, rejected and the rejected positions."""
+    from fleetline.plans.edge import batch_requests, edge_elements, split_batches
+    return split_batches(batch_requests(edge_elements(c.table("events"))))
+
+
+@register("batch_ceiling")
+def batch_ceiling(c):
+    """Whole-request rejection above 500 events (hourly per-client requests)."""
+    from fleetline.plans.edge import ceiling, edge_elements
+    return ceiling(edge_elements(c.table("events")))
+
+
+@register("event_store")
+def event_store(c):
+    """Insert-if-absent over two runs (deliveries before / after hour 3)."""
+    from fleetline.plans.pipeline import incremental_store
+    from pyspark.sql import functions as F
+    cut = c.params.cutoff
+    valid = c.ingest.valid
+    store = incremental_store(valid.filter(F.col("arrival_ts") < cut), None, 0)
+    store = incremental_store(valid.filter(F.col("arrival_ts") >= cut), store, 1)
+    return store.select("event_id", "device_id", "source_partition", "source_offset", "batch_id")
+
+
+@register("validated_projection")
+def validated_projection(c):
+    """The validated stream record: 7 fields, key = device, header = event id."""
+    from fleetline.operators.state import VALIDATED_FIELDS
+    from pyspark.sql import functions as F
+    return c.events.select(*VALIDATED_FIELDS, F.col("device_id").alias("message_key"),
+                           F.col("event_id").alias("header_event_id"))
+
+
+@register("dead_letter_upsert")
+def dead_letter_upsert(c):
+    """Dead letters keyed by coordinates after the batch was processed twice
+    (a rewind): first payload and creation kept, latest reason, stream key."""
+    from fleetline.plans.pipeline import dead_letter_rows
+    from fleetline.operators.route import failed_deliveries
+    from pyspark.sql import functions as F
+    failed = failed_deliveries(c.ingest.routed)
+    again = failed.withColumn("processed_at", F.col("processed_at") + F.expr("INTERVAL 30 SECONDS")) \
+        .withColumn("reason", F.concat(F.col("reason"), F.lit(" (retry)")))
+    rows = dead_letter_rows(failed.unionByName(again))
+    return rows.select("source_topic", "source_partition", "source_offset", "reason", "created_at",
+                       F.concat_ws(":", "source_topic", "source_partition", "source_offset").alias("stream_key"))
