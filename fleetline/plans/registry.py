@@ -451,3 +451,86 @@ def dead_letter_upsert(c):
     rows = dead_letter_rows(failed.unionByName(again))
     return rows.select("source_topic", "source_partition", "source_offset", "reason", "created_at",
                        F.concat_ws(":", "source_topic", "source_partition", "source_offset").alias("stream_key"))
+
+
+# --- M1-M6: metrics and SLO rules -------------------------------------------------
+
+@register("pipeline_counters")
+def pipeline_counters(c):
+    from fleetline.plans import slo
+    return slo.counters(c.deliveries, c.ingest.valid, c.events, c.dead_letters)
+
+
+@register("latency_histogram")
+def latency_histogram(c):
+    from fleetline.plans import slo
+    return slo.latency_histogram(c.events).select("le", "count")
+
+
+@register("latency_quantile")
+def latency_quantile(c):
+    from fleetline.plans import slo
+    h = slo.latency_histogram(c.events)
+    return slo.histogram_quantile(h, 0.5).unionByName(slo.histogram_quantile(h, 0.95)) \
+        .unionByName(slo.histogram_quantile(h, 0.99))
+
+
+@register("event_rate")
+def event_rate(c):
+    from fleetline.plans import slo
+    return slo.event_rate(c.events)
+
+
+@register("dlq_ratio")
+def dlq_ratio(c):
+    from fleetline.plans import slo
+    return slo.dlq_ratio(c.events, c.dead_letters)
+
+
+@register("alert_states")
+def alert_states(c):
+    """M6: DLQ-ratio and outbox-stall rules evaluated every minute from the
+    fixture start to ``now``."""
+    from fleetline.constants import ALERT_RULES
+    from fleetline.plans import slo
+    from fleetline.sources.fixture import BASE_US
+    from pyspark.sql import functions as F
+    grid = slo.minute_grid(F.timestamp_micros(F.lit(BASE_US)), c.params.now, c.events)
+    samples = slo.dlq_ratio_samples(c.events, c.dead_letters, grid).unionByName(
+        slo.oldest_pending_samples(c.ledger, grid))
+    rules = [(name, metric, op, thr, hold) for name, metric, _agg, op, thr, hold in ALERT_RULES
+             if metric in ("dead_letter_ratio", "outbox_oldest_pending_seconds")]
+    return slo.alert_states(samples, rules)
+
+
+# --- B1-B3, C1: request log and quota -----------------------------------------------
+
+def _accepted_ids(c):
+    from fleetline.plans.edge import check_elements, edge_elements
+    from pyspark.sql import functions as F
+    return check_elements(edge_elements(c.table("events"))).filter(F.size("errors") == 0).select("event_id")
+
+
+@register("request_latency_summary")
+def request_latency_summary(c):
+    from fleetline.plans import requests as B
+    return B.latency_summary(B.fixture_request_log(c.table("events")))
+
+
+@register("run_matrix_summary")
+def run_matrix_summary(c):
+    from fleetline.plans import requests as B
+    runs = B.run_rows(B.fixture_request_log(c.table("events")), _accepted_ids(c), c.events)
+    return B.matrix_summary(runs, max_pipeline_seconds=6 * 3600.0)
+
+
+@register("reconcile_sent_stored")
+def reconcile_sent_stored(c):
+    from fleetline.plans import requests as B
+    return B.reconcile(B.fixture_request_log(c.table("events")), _accepted_ids(c), c.events)
+
+
+@register("quota_audit")
+def quota_audit(c):
+    from fleetline.plans import requests as B
+    return B.quota_audit(B.fixture_request_log(c.table("events")))
