@@ -5,8 +5,8 @@ path, else a folder of delivery files) -> ``foreachBatch`` -> the same
 operators as the batch job.  Per micro-batch:
 
 1. route the batch (persisted: both branches are written);
-2. history = the stored events of *earlier* batches (rows of this batch id
-   are excluded, so a retried batch does not see itself);
+2. history = the stored events of *earlier* batches (``batch_id <`` this one:
+   a retried batch sees neither itself nor anything stored after it);
 3. insert-if-absent: first arrivals of the batch anti-joined with history;
 4. enrich the new events against history, reading only what they can see:
    for each device of the batch, the stored rows in its 5-minute band and
@@ -122,7 +122,7 @@ def process_batch(batch: DataFrame, batch_id: int, store: TableStore,
     routed = R.route(batch, processing_time).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stored_all = store.read(spark, "events")
-        history = None if stored_all is None else stored_all.filter(F.col("batch_id") != batch_id)
+        history = None if stored_all is None else stored_all.filter(F.col("batch_id") < batch_id)
         valid = R.valid_deliveries(routed)
         first = E.first_arrivals(valid).select(*STORED_COLUMNS)
         if history is not None:
