@@ -89,7 +89,7 @@ ledger AS (
 
 ENRICHED_COLUMNS = """event_id, device_id, t_us AS "timestamp", recv_us AS received_at,
   processed_us AS processed_at, round(temperature, 6) AS temperature, round(voltage, 6) AS voltage,
-  status, region, round(avg5, 6) AS avg_temperature_5m, vdrop AS voltage_drop_detected,
+  status, region, (round(avg5, 6) + 0.0) AS avg_temperature_5m, vdrop AS voltage_drop_detected,
   lag_ms AS event_lag_ms, outlier AS outlier_detected"""
 
 

@@ -98,6 +98,6 @@ def present(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.unix_micros(c.cast("timestamp"))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, digits)
+            c = F.round(c, digits) + F.lit(0.0)    # -0.0 -> 0.0
         cols.append(c.alias(f.name))
     return df.select(*cols)
