@@ -70,6 +70,13 @@ class FixtureCatalog:
         from fleetline.plans.deadletter import fixture_replays
         return fixture_replays(self.dead_letters, self.params.now)
 
+    @cached_property
+    def edge_checked(self) -> DataFrame:
+        """Edge bodies with their validation result, written once (the
+        UUID fill-in of missing ids must not change between readers)."""
+        from fleetline.plans.edge import check_elements, edge_elements
+        return write_table(check_elements(edge_elements(self.table("events"))), "edge_checked")
+
     @cached_property
     def acks(self) -> DataFrame:
         return fixture.fixture_acks(self.ingest.ledger)

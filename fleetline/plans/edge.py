@@ -49,13 +49,13 @@ def check_elements(elements: DataFrame) -> DataFrame:
                       F.col("_s_event_region").alias("region"))
 
 
-def accepted_envelopes(elements: DataFrame, schema_id: int, received_at: Column | None = None) -> DataFrame:
+def accepted_envelopes(checked: DataFrame, schema_id: int, received_at: Column | None = None) -> DataFrame:
     """Envelopes ``{schema_version: 1, schema_id, event, received_at}`` of the
-    valid elements; a missing event id becomes a random UUID (persist the
-    result before reusing it: ``uuid()`` is not deterministic)."""
+    valid elements of :func:`check_elements` (whose missing event ids became
+    random UUIDs: write that frame once before reusing it)."""
     if schema_id < 1:
         raise ValueError("the edge stamps registered schema ids (>= 1)")
-    checked = check_elements(elements).filter(F.size("errors") == 0)
+    checked = checked.filter(F.size("errors") == 0)
     recv = received_at if received_at is not None else F.timestamp_micros("recv_us")
     event = F.struct("event_id", "device_id", "timestamp", "temperature", "voltage", "status", "region")
     return checked.select(
@@ -94,10 +94,10 @@ def split_batches(requests: DataFrame) -> DataFrame:
     )
 
 
-def ceiling(elements: DataFrame) -> DataFrame:
-    """Hourly per-client requests (client = user % 7); a request of more
-    than 500 events is rejected whole (counted on the submitted size)."""
-    checked = check_elements(elements)
+def ceiling(checked: DataFrame) -> DataFrame:
+    """Hourly per-client requests (client = user % 7) over checked elements;
+    a request of more than 500 events is rejected whole (counted on the
+    submitted size)."""
     per = checked.groupBy((F.col("user_id") % 7).alias("client"),
                           F.expr("t_us div 3600000000").alias("hour")).agg(
         F.count(F.lit(1)).alias("submitted"), F.count_if(F.size("errors") == 0).alias("valid"))

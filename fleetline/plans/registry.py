@@ -396,9 +396,9 @@ def raw_deliveries(c):
 @register("envelope_build")
 def envelope_build(c):
     """Edge envelopes (schema id 1, receipt stamp) of the accepted edge events."""
-    from fleetline.plans.edge import accepted_envelopes, edge_elements
+    from fleetline.plans.edge import accepted_envelopes
     from pyspark.sql import functions as F
-    env = accepted_envelopes(edge_elements(c.table("events")), schema_id=1)
+    env = accepted_envelopes(c.edge_checked, schema_id=1)
     return env.select("event_id", "device_id", "schema_version", "schema_id", "received_at",
                       F.get_json_object("envelope", "$.event.status").alias("envelope_status"))
 
@@ -413,8 +413,8 @@ def batch_accept_reject(c):
 @register("batch_ceiling")
 def batch_ceiling(c):
     """Whole-request rejection above 500 events (hourly per-client requests)."""
-    from fleetline.plans.edge import ceiling, edge_elements
-    return ceiling(edge_elements(c.table("events")))
+    from fleetline.plans.edge import ceiling
+    return ceiling(c.edge_checked)
 
 
 @register("event_store")
@@ -506,9 +506,8 @@ def alert_states(c):
 # --- B1-B3, C1: request log and quota -----------------------------------------------
 
 def _accepted_ids(c):
-    from fleetline.plans.edge import check_elements, edge_elements
     from pyspark.sql import functions as F
-    return check_elements(edge_elements(c.table("events"))).filter(F.size("errors") == 0).select("event_id")
+    return c.edge_checked.filter(F.size("errors") == 0).select("event_id")
 
 
 @register("request_latency_summary")
