@@ -11,8 +11,8 @@ in arrival order (not event time), then filtered by event time.
 
 Plan shape (no per-event correlated lookups, no all-pairs band join):
 
-* previous voltage = running arg-max over arrival order, split by arrival
-  hour so one hot device does not sit in one task
+* previous voltage = running arg-max over arrival order, split by 10-minute
+  arrival chunks so one hot device does not sit in one task
   (:func:`fleetline.operators.sequence.running_max_before`);
 * the mean = (sliding event-time window over *all* stored rows of the device,
   grouped by 5-minute bucket with the previous bucket copied in) minus the
@@ -35,7 +35,7 @@ from fleetline.operators.sequence import running_max_before
 
 WINDOW_US = TRAILING_WINDOW_SECONDS * 1000000
 SUB_BUCKET_US = 30 * 1000000
-ARRIVAL_CHUNK_US = 3600 * 1000000
+ARRIVAL_CHUNK_US = 600 * 1000000      # a hot device is spread over its 10-minute arrival chunks
 
 ARRIVAL_ORDER = ["arrival_ts", "source_partition", "source_offset"]
 
