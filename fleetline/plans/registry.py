@@ -533,3 +533,13 @@ def reconcile_sent_stored(c):
 def quota_audit(c):
     from fleetline.plans import requests as B
     return B.quota_audit(B.fixture_request_log(c.table("events")))
+
+
+@register("lag_gauge")
+def lag_gauge(c):
+    """M7: consumer lag sum/max per minute from the fixture start to ``now``."""
+    from fleetline.plans import slo
+    from fleetline.sources.fixture import BASE_US
+    from pyspark.sql import functions as F
+    grid = slo.minute_grid(F.timestamp_micros(F.lit(BASE_US)), c.params.now, c.events)
+    return slo.lag_gauge(c.ingest.routed, grid)
