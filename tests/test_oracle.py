@@ -9,8 +9,8 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, rows_of
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in entry.REGISTRY}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
