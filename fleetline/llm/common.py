@@ -4,7 +4,7 @@
 * ``materialize`` cuts lineage with a Parquet table under the shared
   ``spark.checkpoint.dir`` and frees the shuffle files of that write.
 * ``attach`` joins a per-key table to rows whose keys may be hot.
-* ``packed``/``unpacked`` keep a caller's columns in one struct, so working
+* ``packed``/``unpacked`` keep a caller's columns under a prefix, so working
   columns never clash with them.
 """
 
@@ -61,8 +61,9 @@ def discard(df: DataFrame) -> None:
 
 
 def packed(df: DataFrame) -> DataFrame:
-    """One struct column ``row`` that holds every column of ``df``."""
-    return df.select((F.struct("*") if df.columns else F.struct(F.lit(1).alias("_"))).alias("row"))
+    """Every column of ``df`` renamed to ``in_<name>``: working columns cannot
+    clash with them, and those not asked for are still pruned."""
+    return df.toDF(*[f"in_{c}" for c in df.columns])
 
 
 def quoted(name: str) -> str:
@@ -70,13 +71,20 @@ def quoted(name: str) -> str:
 
 
 def unpacked(columns: Sequence[str], new: Sequence[str]) -> list[Column]:
-    """The caller's columns out of ``row`` without those named in ``new``
-    (compared without case, as Spark resolves names), then the new ones."""
+    """The caller's columns out of a packed frame without those named in
+    ``new`` (compared without case, as Spark resolves names), then these."""
     taken = {n.lower() for n in new}
-    return ([F.col(f"row.{quoted(c)}") for c in columns if c.lower() not in taken]
+    return ([F.col(quoted(f"in_{c}")).alias(c) for c in columns if c.lower() not in taken]
             + [F.col(n) for n in new])
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows: whole texts can be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; an empty array for null."""
     return F.coalesce(F.array_remove(F.split(text, WORD_SEPARATORS), ""),

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetline.llm import mixing, quality_rules, url_reputation
-from fleetline.llm.common import table
+from fleetline.llm import langid, mixing, packing, quality_rules, url_reputation, warc
+from fleetline.llm.common import materialize, table
 from fleetline.llm.oracles import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -39,4 +39,21 @@ def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_reputation, op7_curriculum_mix)}
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    bundles = materialize(warc.write_bundles(pages), "warc-bundles")
+    return warc.read_records(bundles, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_url_reputation, op3_best_fit_packing, op7_curriculum_mix, op8_warc_bundles,
+    op10_language_id)}

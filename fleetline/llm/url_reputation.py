@@ -122,17 +122,17 @@ def url_reputation(pages: DataFrame, outcomes: DataFrame,
     """All rows of ``pages`` with host, path, rule, verdict and the host's
     posterior.  ``outcomes``: (page_id, bad boolean)."""
     rows = packed(pages).select(
-        "row", host_of(F.col("row.url")).alias("host"), path_of(F.col("row.url")).alias("path"))
+        "*", host_of(F.col("in_url")).alias("host"), path_of(F.col("in_url")).alias("path"))
     per_page = (outcomes.filter("page_id is not null and bad is not null").groupBy("page_id")
                 .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("k")))
-    counts = (rows.select(F.col("row.page_id").alias("page_id"), "host")
+    counts = (rows.select(F.col("in_page_id").alias("page_id"), "host")
               .join(per_page, "page_id", "left").groupBy("host")
               .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
                    F.coalesce(F.sum("k"), F.lit(0)).alias("k")))
     known = reputations(counts, second_level, z)
     known = known.select("*", fitting_hosts(F.col("host"), rules).alias("_rules"))
     judged = attach(rows, materialize(known, "reputations"), ["host"],
-                    F.xxhash64("row.page_id", "path"))
+                    F.xxhash64("in_page_id", "path"))
     fits = F.array_max(F.filter("_rules", lambda r: F.startswith(F.col("path"), r["path"])))
     judged = judged.withColumn("_rule", fits)
     verdict = F.coalesce(F.when(F.col("_rule.blocks"), "block").when(~F.col("_rule.blocks"), "allow"),
