@@ -85,6 +85,21 @@ def short_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def slices(texts, chars: int = 4_000_000):
+    """Neighbouring texts in lists of about ``chars`` characters (one longer
+    text is a list of its own), so that a batch's words fit in memory."""
+    part, size = [], 0
+    for text in texts:
+        text = text if isinstance(text, str) else ""
+        if part and size + len(text) > chars:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; an empty array for null."""
     return F.coalesce(F.array_remove(F.split(text, WORD_SEPARATORS), ""),

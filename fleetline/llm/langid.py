@@ -34,7 +34,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetline.llm.common import short_batches
+from fleetline.llm.common import short_batches, slices
 
 VOCABULARY = "piece_bpe_32k.model"
 SMOOTHING = 1000.0
@@ -165,12 +165,13 @@ def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
         model = shared.value
         likelihoods = Likelihoods(model)
         for batch in batches:
-            texts = [word_list(t) if isinstance(t, str) else [] for t in batch["text"]]
             langs, scores = [], []
-            for words, total in zip(texts, likelihoods.of(texts)):
-                best = int(np.argmax(total))
-                langs.append(model.langs[best] if words else UNDETERMINED)
-                scores.append(float(1.0 / np.exp(total - total[best]).sum()) if words else 0.0)
+            for texts in slices(batch["text"]):
+                found = [word_list(t) for t in texts]
+                for words, total in zip(found, likelihoods.of(found)):
+                    best = int(np.argmax(total))
+                    langs.append(model.langs[best] if words else UNDETERMINED)
+                    scores.append(float(1.0 / np.exp(total - total[best]).sum()) if words else 0.0)
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "lang_pred": langs, "score": scores})
 
     return rows.mapInPandas(predict, "doc_id long, lang_pred string, score double")

@@ -41,15 +41,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetline.llm.common import materialize, short_batches
+from fleetline.llm.common import materialize, short_batches, slices
 from fleetline.operators.sequence import dense_sequence
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
-NODES = 2_000
+NODES = 50_000
+#: Fillings of up to this many pieces are enumerated one by one.
+DEPTH = 8
 BUCKET_ROWS = 20_000
-CACHE_STRINGS = 300_000
+CACHE_STRINGS = 500_000
 CACHE_CHARS = 64
 
 
@@ -70,19 +72,19 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return {s: np.asarray(e.ids, "<u4").tobytes() for s, e in zip(strings, found)}
 
-    def encode(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, parts))
-        except KeyError:
-            distinct = set(parts)
-            ids = {s: self.known.get(s) or self.older.get(s) for s in distinct}
-            ids[""] = b""
-            ids.update(self.learn([s for s in distinct if ids[s] is None]))
-            if len(self.known) > CACHE_STRINGS:
-                self.older, self.known = self.known, {"": b""}
-            self.known.update((s, found) for s, found in ids.items() if len(s) <= CACHE_CHARS)
-            return b"".join(map(ids.__getitem__, parts))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        missing = set().union(*parts).difference(self.known)
+        back = missing.intersection(self.older)
+        self.known.update((s, self.older[s]) for s in back)
+        self.known.update(self.learn(list(missing - back)))
+        out = [b"".join(map(self.known.__getitem__, p)) for p in parts]
+        for s in missing:
+            if len(s) > CACHE_CHARS:
+                del self.known[s]
+        if len(self.known) > CACHE_STRINGS:
+            self.older, self.known = self.known, {"": b""}
+        return out
 
 
 #: One encoder per worker process and vocabulary; what it has met stays useful
@@ -106,8 +108,9 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
         encoder, end = encoder_for(path), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = (encoder.encode(text) if isinstance(text, str) else b"") + end
+            found = (ids for texts in slices(batch["text"]) for ids in encoder.encode(texts))
+            for doc_id, ids in zip(batch["doc_id"], found):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     out.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part))
@@ -124,78 +127,102 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
     """Bins that any packing needs: by volume, and by the pieces that cannot
     share a bin with those of more than ``capacity - t``, for each t."""
-    lengths = sorted(counts)
-    best = math.ceil(sum(n * c for n, c in counts.items()) / capacity)
-    for t in [0, *[n for n in lengths if n <= capacity // 2]]:
-        large = [n for n in lengths if n > capacity - t]
-        middle = [n for n in lengths if capacity // 2 < n <= capacity - t]
-        small = [n for n in lengths if t <= n <= capacity // 2]
-        bins = sum(counts[n] for n in large) + sum(counts[n] for n in middle)
-        room = sum((capacity - n) * counts[n] for n in middle)
-        left = sum(n * counts[n] for n in small) - room
-        best = max(best, bins + max(0, math.ceil(left / capacity)))
+    number, volume = [0] * (capacity + 2), [0] * (capacity + 2)     # of lengths below i
+    for i in range(capacity + 1):
+        number[i + 1] = number[i] + counts.get(i, 0)
+        volume[i + 1] = volume[i] + i * counts.get(i, 0)
+    best, half = math.ceil(volume[-1] / capacity), capacity // 2
+    for t in [0, *[n for n in counts if n <= half]]:
+        middle = number[capacity - t + 1] - number[half + 1]
+        room = middle * capacity - (volume[capacity - t + 1] - volume[half + 1])
+        left = volume[half + 1] - volume[t] - room
+        best = max(best, number[-1] - number[half + 1] + max(0, math.ceil(left / capacity)))
     return best
 
 
-def fullest(left: dict[int, int], present: list[int], room: int) -> list[tuple[int, int]]:
-    """The best-fit filling: again and again the longest piece that fits."""
-    filling, used = [], {}
-    at = bisect_right(present, room) - 1
-    while at >= 0 and room > 0:
+def fullest(left: dict[int, int], present: list[int], room: int, top: int) -> list[tuple[int, int]]:
+    """The best-fit filling with pieces up to place ``top`` of ``present``:
+    again and again the longest piece that fits."""
+    filling = []
+    at = min(top, bisect_right(present, room) - 1)
+    while at >= 0:
         length = present[at]
-        copies = min(left[length] - used.get(length, 0), room // length)
+        copies = min(left[length], room // length)
         if copies > 0:
             filling.append((length, copies))
-            used[length] = copies
             room -= copies * length
+            if not room:
+                break
         at = min(at - 1, bisect_right(present, room) - 1)
     return filling
 
 
-def undominated(left: dict[int, int], present: list[int], room: int) -> list[list[tuple[int, int]]]:
-    """Fillings of ``room`` that no other filling dominates, least waste first.
-
-    One dominates another if its pieces can take the place of the other's
-    (a piece for one or several that together are no longer).  Listed are the
-    longest single piece, then for each shorter piece the best-fit filling of
-    the room it leaves; of the rest, those whose total is no more than that
-    single piece are dominated by it, and so are those whose pieces are, one
-    by one, no longer than the pieces of another filling.
-    """
-    options: dict[tuple[tuple[int, int], ...], int] = {}
-    top = bisect_right(present, room) - 1
-    single = present[top] if top >= 0 else 0
+def fillings_of(left: dict[int, int], present: list[int], room: int, top: int, budget: list[int],
+                depth: int = 0) -> Iterator[tuple[int, list]]:
+    """(waste, filling) of ``room`` with pieces up to place ``top``, the best
+    fit first; beyond ``DEPTH`` pieces only the best fit of the rest."""
+    top = min(top, bisect_right(present, room) - 1)
+    if depth >= DEPTH:
+        rest = fullest(left, present, room, top)
+        yield room - sum(n * c for n, c in rest), rest
+        return
+    fits = False
     for at in range(top, -1, -1):
-        first = present[at]
-        rest = dict(left)
-        rest[first] -= 1
-        still = [n for n in present[:at + 1] if rest[n] > 0]
-        filling: dict[int, int] = {first: 1}
-        for length, copies in fullest(rest, still, room - first):
-            filling[length] = filling.get(length, 0) + copies
-        total = sum(n * c for n, c in filling.items())
-        if at < top and total <= single:
+        length = present[at]
+        if left[length] > 0 and budget[0] > 0:
+            fits = True
+            left[length] -= 1
+            for waste, rest in fillings_of(left, present, room - length, at, budget, depth + 1):
+                left[length] += 1
+                yield waste, [(length, 1), *rest]
+                left[length] -= 1
+            left[length] += 1
+    if not fits:
+        budget[0] -= 1
+        yield room, []
+
+
+def merged(filling: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: dict[int, int] = {}
+    for length, copies in filling:
+        out[length] = out.get(length, 0) + copies
+    return sorted(out.items(), reverse=True)
+
+
+def dominated(items: list[int], by: list[int]) -> bool:
+    """Piece by piece no longer than those of ``by``."""
+    return len(items) <= len(by) and all(a <= b for a, b in zip(items, by))
+
+
+def undominated(left: dict[int, int], present: list[int], room: int, slack: int, budget: list[int],
+                look: int = 16) -> Iterator[list[tuple[int, int]]]:
+    """Fillings of ``room`` with at most ``slack`` waste that none listed before
+    dominates.  They come in runs of ``look``, least waste first within a run,
+    and a filling without waste at once: the search seldom needs more.  One
+    dominates another if its pieces can take the place of the other's; tested
+    are pieces one by one, and all pieces against the longest single one."""
+    kept: list[list[int]] = []
+    run: list[tuple[int, list]] = []
+
+    def fresh(filling) -> bool:
+        items = [n for n, c in filling for _ in range(c)]
+        if any(dominated(items, k) for k in kept) or (kept and len(kept[0]) and sum(items) <= kept[0][0]):
+            return False
+        kept.append(items)
+        return True
+
+    for waste, filling in fillings_of(left, present, room, len(present) - 1, budget):
+        if waste > slack:
+            continue
+        if waste == 0:
+            if fresh(merged(filling)):
+                yield merged(filling)
             continue
-        options[tuple(sorted(filling.items(), reverse=True))] = total
-        second = bisect_right(still, room - first) - 1
-        for k in range(second - 1, max(-1, second - 8), -1):    # two-piece starts
-            pair = dict(filling := {first: 1})
-            rest2 = dict(rest)
-            pair[still[k]] = pair.get(still[k], 0) + 1
-            rest2[still[k]] -= 1
-            lower = [n for n in still[:k + 1] if rest2[n] > 0]
-            for length, copies in fullest(rest2, lower, room - first - still[k]):
-                pair[length] = pair.get(length, 0) + copies
-            total = sum(n * c for n, c in pair.items())
-            if total > single:
-                options[tuple(sorted(pair.items(), reverse=True))] = total
-    flat = sorted(((total, [n for n, c in f for _ in range(c)], f) for f, total in options.items()),
-                  key=lambda x: (-x[0], [-n for n in x[1]]))
-    kept: list[tuple[list[int], tuple]] = []
-    for _, items, filling in flat:
-        if not any(len(items) <= len(k) and all(a <= b for a, b in zip(items, k)) for k, _ in kept):
-            kept.append((items, filling))
-    return [list(f) for _, f in kept] or [[]]
+        run.append((waste, merged(filling)))
+        if len(run) == look:
+            yield from (f for _, f in sorted(run, key=lambda x: x[0]) if fresh(f))
+            run = []
+    yield from (f for _, f in sorted(run, key=lambda x: x[0]) if fresh(f))
 
 
 def take(left: dict[int, int], present: list[int], filling: list[tuple[int, int]], times: int) -> None:
@@ -212,20 +239,13 @@ def put_back(left: dict[int, int], present: list[int], filling: list[tuple[int,
         left[length] += copies * times
 
 
-def around(filling: list[tuple[int, int]], largest: int) -> list[tuple[int, int]]:
-    both = dict(filling)
-    both[largest] = both.get(largest, 0) + 1
-    return sorted(both.items(), reverse=True)
-
-
 def dive(counts: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
     """Best-fit solution: (times, filling) with fillings as (length, copies)."""
     left, present, out = dict(counts), sorted(counts), []
     while present:
         largest = present[-1]
         left[largest] -= 1
-        still = present if left[largest] else present[:-1]
-        bin_ = around(fullest(left, still, capacity - largest), largest)
+        bin_ = merged([(largest, 1), *fullest(left, present, capacity - largest, len(present) - 1)])
         left[largest] += 1
         times = min(left[n] // c for n, c in bin_)
         take(left, present, bin_, times)
@@ -247,19 +267,23 @@ def bin_completion(counts: dict[int, int], capacity: int,
 
     def branches():
         largest = present[-1]
-        left[largest] -= 1
-        still = [n for n in present if left[n] > 0]
-        fillings = undominated(left, still, capacity - largest)
-        left[largest] += 1
-        for filling in fillings:
-            bin_ = around(filling, largest)
+        slack = (bins - 1) * capacity - total - waste
+        fillings = undominated(left, present, capacity - largest, slack, budget)
+        while True:
+            left[largest] -= 1
+            filling = next(fillings, None)
+            left[largest] += 1
+            if filling is None:
+                return
+            bin_ = merged([(largest, 1), *filling])
             most = min(left[n] // c for n, c in bin_)
             for times in dict.fromkeys((most, 1)):
                 yield times, bin_
 
     used = waste = 0
+    budget = [nodes]
     stack = [branches()] if bins > bound else []
-    while stack and bins > bound and nodes > 0:
+    while stack and bins > bound and budget[0] > 0:
         step = next(stack[-1], None)
         if step is None:
             stack.pop()
@@ -269,7 +293,7 @@ def bin_completion(counts: dict[int, int], capacity: int,
                 used -= times
                 waste -= times * (capacity - sum(n * c for n, c in bin_))
             continue
-        nodes -= 1
+        budget[0] -= 1
         times, bin_ = step
         more = times * (capacity - sum(n * c for n, c in bin_))
         if waste + more > (bins - 1) * capacity - total or used + times >= bins:
