@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetline.llm import langid, mixing, packing, quality_rules, url_reputation, warc
+from fleetline.llm import (embeddings, langid, mixing, packing, quality_rules, simhash, url_reputation,
+                           warc)
 from fleetline.llm.common import materialize, table
 from fleetline.llm.oracles import ORACLE_SQL
 
@@ -54,6 +55,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.link_documents(docs).select("doc_id", "fingerprint", "component_id")
+
+
+def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return embeddings.link_vectors(vectors).select("vec_id", "n_links", "component_id", "kept")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_url_reputation, op3_best_fit_packing, op7_curriculum_mix, op8_warc_bundles,
-    op10_language_id)}
+    op1_quality_rules, op2_url_reputation, op3_best_fit_packing, op4_simhash_components, op7_curriculum_mix,
+    op8_warc_bundles, op9_embedding_links, op10_language_id)}
