@@ -1,25 +1,60 @@
-"""Training-corpus pipeline over ``documents``: quality rules -> SimHash
-near-dedup -> PII -> source mixing -> best-fit packing."""
+"""Training-corpus pipeline over ``documents``.
+
+Quality rules -> SimHash near-dedup -> PII -> source mixing -> best-fit
+packing.  Every stage works on all its predecessor kept; ``run`` writes and
+rereads each stage's rows as Parquet under the shared checkpoint folder.
+Rejected documents leave, one document of each near-copy component stays, PII
+is replaced by its kind in ``text`` (``n_chars`` follows), documents are
+repeated or left out as the mix takes them, and the pieces of what remains are
+packed.  A document that the mix takes twice is packed twice.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fleetline.llm import mixing, packing, pii, quality_rules, simhash
+from fleetline.llm.common import materialize, quoted, table
+
 
-from fleetline.llm import quality_rules
-from fleetline.llm.common import materialize, table
+def same_columns(out: DataFrame, docs: DataFrame) -> DataFrame:
+    return out.select(*[F.col(quoted(c)) for c in docs.columns])
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality_rules.judge(docs)
-    return judged.filter("kept").select(*docs.columns)
+    # The operator's result columns replace the caller's of the same name, so
+    # these are read again through a copy that it does not touch.
+    carried = docs.select("text", "lang", "source", F.struct("*").alias("document"))
+    return quality_rules.judge(carried).filter("kept").select("document.*")
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return same_columns(simhash.drop_near_copies(docs), docs)
+
+
+def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    masked = pii.redact(docs)
+    if "n_chars" in docs.columns:
+        masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return same_columns(masked, docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    carried = docs.select("doc_id", "text", "source", F.struct("*").alias("document"))
+    return mixing.schedule(carried).select("document.*")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs.select("doc_id", "text"))
 
 
-STAGES = [("quality_rules", keep_quality)]
+STAGES = [("quality_rules", keep_quality), ("simhash_near_dedup", drop_copies), ("pii", mask_pii),
+          ("curriculum_mix", mix_sources), ("best_fit_packing", pack_sequences)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written and reread."""
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

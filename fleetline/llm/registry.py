@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetline.llm import (embeddings, langid, mixing, packing, quality_rules, simhash, url_reputation,
-                           warc)
+from fleetline.llm import (embeddings, langid, mixing, packing, pii, quality_rules, simhash, substring,
+                           url_reputation, warc)
 from fleetline.llm.common import materialize, table
 from fleetline.llm.oracles import ORACLE_SQL
 
@@ -65,6 +65,16 @@ def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.link_vectors(vectors).select("vec_id", "n_links", "component_id", "kept")
 
 
+def op5_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
+                        pii.spans_text(F.col("all_spans")).alias("spans"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.drop_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_url_reputation, op3_best_fit_packing, op4_simhash_components, op7_curriculum_mix,
-    op8_warc_bundles, op9_embedding_links, op10_language_id)}
+    op1_quality_rules, op2_url_reputation, op3_best_fit_packing, op4_simhash_components, op5_contextual_pii,
+    op6_substring_dedup, op7_curriculum_mix, op8_warc_bundles, op9_embedding_links, op10_language_id)}
