@@ -6,8 +6,7 @@ smaller doc_id is removed; windows are judged on the input.
 
 Method.  Documents are dealt to chunks of about ``CHUNK_BYTES`` by hash.
 
-1. Each chunk sketches its windows (each once a document) and the sketches are
-   merged by cell.  A count-min sketch that tells repeats from chance must
+1. Each chunk sketches its windows and the sketches are merged by cell.  A count-min sketch that tells repeats from chance must
    grow with the corpus, so none is held whole anywhere: a chunk sends the
    sorted cells it hits, two bytes each, one list per row and range of cells;
    a range's task adds the lists and answers each chunk with those of its
@@ -44,14 +43,15 @@ from pyspark.sql import functions as F
 from fleetline.llm.common import materialize
 
 WINDOW = 13
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 ROWS = 2
-#: Cells in a range, and chunks to a range: about six cells to a window.
+#: Cells in a range (2 ** 25, see ``cells``) and chunks to a range: about
+#: twelve cells to a window.
 RANGE_CELLS = 1 << 25
 CHUNKS_PER_RANGE = 4
 NO_ID = np.iinfo(np.int64).max
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 _WORDS: dict[bytes, int] = {}
 
 
@@ -73,31 +73,41 @@ class Chunk:
     """Words and window hashes of a chunk's documents."""
 
     def __init__(self, frame: pd.DataFrame, window: int):
-        self.ids = [NO_ID if pd.isna(i) else int(i) for i in frame["doc_id"]]
-        self.words = [t.encode().split() if isinstance(t, str) else [] for t in frame["text"]]
-        flat = [w for words in self.words for w in words]
-        ends = np.cumsum([len(w) for w in self.words], dtype=np.int64)
-        doc = np.repeat(np.arange(len(self.words)), [len(w) for w in self.words])
-        hashes, n = word_hashes(flat), max(0, len(flat) - window + 1)
-        starts = np.flatnonzero(ends[doc[:n]] - np.arange(n) >= window) if n else np.zeros(0, np.int64)
-        self.starts, self.doc = starts, doc[starts]
-        self.first = ends - [len(w) for w in self.words]
-        self.keys = []
-        for factor in FACTORS:
-            h, power = np.zeros(len(starts), np.uint64), 1
-            for k in range(window):
-                h += hashes[starts + k] * np.uint64(power)
-                power = power * factor % (1 << 64)
-            self.keys.append(mixed(h))
-
-    def owner(self) -> np.ndarray:
-        return np.array(self.ids, np.int64)[self.doc]
-
-
-def cells(key: np.ndarray, row: int, ranges: int) -> tuple[np.ndarray, np.ndarray]:
-    """(range, cell in it) of window hashes in a row of the sketch."""
+        self.ids = np.array([NO_ID if pd.isna(i) else int(i) for i in frame["doc_id"]], np.int64)
+        self.words, sizes = [], []
+        for text in frame["text"]:
+            found = text.encode().split() if isinstance(text, str) else []
+            self.words += found
+            sizes.append(len(found))
+        self.sizes, self.window = np.array(sizes, np.int64), window
+        self.ends = np.cumsum(self.sizes)
+        self.hashes = word_hashes(self.words)
+        n = max(0, len(self.words) - window + 1)
+        doc = np.repeat(np.arange(len(sizes)), self.sizes)[:n]
+        self.starts = np.flatnonzero(self.ends[doc] - np.arange(n) >= window)
+        self.owner = self.ids[doc[self.starts]]
+        self.key = mixed(self._sum(FACTORS[0], lambda k: self.hashes[k:k + n])[self.starts])
+
+    def _sum(self, factor: int, words_at) -> np.ndarray:
+        h, power = np.zeros(len(words_at(0)), np.uint64), 1
+        for k in range(self.window):
+            h += words_at(k) * np.uint64(power)
+            power = power * factor % (1 << 64)
+        return h
+
+    def records(self, at: np.ndarray) -> np.ndarray:
+        """Windows ``at`` with both hashes and their document."""
+        out = np.zeros(len(at), RECORD)
+        first = self.starts[at]
+        out["a"], out["doc"] = self.key[at], self.owner[at]
+        out["b"] = mixed(self._sum(FACTORS[1], lambda k: self.hashes[first + k]))
+        return out
+
+
+def cells(key: np.ndarray, row: int, ranges: int) -> np.ndarray:
+    """Cells (range x RANGE_CELLS + place in it) of windows in a sketch row."""
     h = mixed(key + np.uint64(FACTORS[1] * (row + 1) % (1 << 64)))
-    return (h % np.uint64(ranges)).astype(np.int64), (h >> np.uint64(39)).astype(np.int64) % RANGE_CELLS
+    return ((h % np.uint64(ranges)) << np.uint64(25) | h >> np.uint64(39)).astype(np.int64)
 
 
 def squeezed(values: np.ndarray) -> bytes:
@@ -114,11 +124,10 @@ def unsqueezed(data: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.int64)[steps != 65535]
 
 
-def by_range(ranges: np.ndarray, order: np.ndarray):
-    """(range, places) of every range hit, places sorted by ``order``."""
-    sort = np.lexsort((order, ranges))
-    hit, first = np.unique(ranges[sort], return_index=True)
-    return zip(hit.tolist(), np.split(sort, first[1:]))
+def by_range(ranges: np.ndarray):
+    """(range, slice) of the runs in sorted ranges."""
+    hit, first = np.unique(ranges, return_index=True)
+    return zip(hit.tolist(), map(slice, first, [*first[1:], len(ranges)]))
 
 
 RECORD = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8")])
@@ -130,13 +139,11 @@ def lists(rows: list[tuple]) -> pd.DataFrame:
 
 
 def sketch_of(frame: pd.DataFrame, window: int, rows: int, ranges: int) -> pd.DataFrame:
-    chunk = Chunk(frame, window)
-    once = np.unique(np.stack([chunk.doc.astype(np.uint64), chunk.keys[0]], axis=1), axis=0)[:, 1] \
-        if len(chunk.doc) else chunk.keys[0]
-    out = []
+    key, out = Chunk(frame, window).key, []
     for row in range(rows):
-        part, cell = cells(once, row, ranges)
-        out += [(row, r, int(frame["chunk"].iloc[0]), squeezed(cell[at])) for r, at in by_range(part, cell)]
+        hit = np.sort(cells(key, row, ranges))
+        out += [(row, r, int(frame["chunk"].iloc[0]), squeezed(hit[at] % RANGE_CELLS))
+                for r, at in by_range(hit // RANGE_CELLS)]
     return lists(out)
 
 
@@ -155,43 +162,50 @@ def repeated_cells(frame: pd.DataFrame) -> pd.DataFrame:
     return lists(out)
 
 
+def among(values: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    if not len(sorted_):
+        return np.zeros(len(values), bool)
+    return sorted_[np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)] == values
+
+
 def estimated_repeated(chunk: Chunk, answers: pd.DataFrame, rows: int, ranges: int) -> np.ndarray:
     """Windows whose cell is repeated in every row."""
-    repeated = {(row, r): unsqueezed(p) for row, r, p in zip(answers["row"], answers["range"], answers["payload"])}
-    passed = np.arange(len(chunk.doc))
+    passed = np.arange(len(chunk.key))
     for row in range(rows):
-        part, cell = cells(chunk.keys[0][passed], row, ranges)
-        keep = np.zeros(len(passed), bool)
-        for r, at in by_range(part, cell):
-            known = repeated.get((row, r))
-            if known is not None:
-                place = np.minimum(np.searchsorted(known, cell[at]), len(known) - 1)
-                keep[at] = known[place] == cell[at]
-        passed = passed[keep]
+        mine = answers[answers["row"] == row]
+        parts = [unsqueezed(p) + int(r) * RANGE_CELLS for r, p in zip(mine["range"], mine["payload"])]
+        known = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+        passed = passed[among(cells(chunk.key[passed], row, ranges), known)]
     return passed
 
 
-def smallest(records: np.ndarray) -> np.ndarray:
-    """One record a key, with the smallest doc, sorted by key."""
-    records = records[np.lexsort((records["doc"], records["b"], records["a"]))]
-    new = np.ones(len(records), bool)
-    new[1:] = (records["a"][1:] != records["a"][:-1]) | (records["b"][1:] != records["b"][:-1])
-    return records[new]
+def by_key(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by key and doc, and where a new key begins in it."""
+    order = np.lexsort((records["doc"], records["b"], records["a"]))
+    a, b = records["a"][order], records["b"][order]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return order, new
 
 
-def windows_of(chunk: Chunk, at: np.ndarray) -> np.ndarray:
-    records = np.zeros(len(at), RECORD)
-    records["a"], records["b"], records["doc"] = chunk.keys[0][at], chunk.keys[1][at], chunk.owner()[at]
-    return records
+def least_docs(records: np.ndarray) -> np.ndarray:
+    """For every record the smallest doc of its key."""
+    order, new = by_key(records)
+    out = np.empty(len(records), np.int64)
+    out[order] = records["doc"][order][new][np.cumsum(new) - 1]
+    return out
 
 
 def candidates_of(frame: pd.DataFrame, window: int, rows: int, ranges: int) -> pd.DataFrame:
     answer = frame["payload"].notna().to_numpy()
     chunk = Chunk(frame[~answer], window)
-    records = smallest(windows_of(chunk, estimated_repeated(chunk, frame[answer], rows, ranges)))
+    records = chunk.records(estimated_repeated(chunk, frame[answer], rows, ranges))
+    order, new = by_key(records)
+    records = records[order[new]]
     part = (records["a"] % np.uint64(ranges)).astype(np.int64)
-    return lists([(0, r, int(frame["chunk"].iloc[0]), records[at].tobytes())
-                  for r, at in by_range(part, np.arange(len(records)))])
+    order = np.argsort(part, kind="stable")
+    return lists([(0, r, int(frame["chunk"].iloc[0]), records[order[at]].tobytes())
+                  for r, at in by_range(part[order])])
 
 
 def smaller_elsewhere(frame: pd.DataFrame) -> pd.DataFrame:
@@ -200,14 +214,10 @@ def smaller_elsewhere(frame: pd.DataFrame) -> pd.DataFrame:
     parts = [np.frombuffer(p, RECORD) for p in frame["payload"]]
     records = np.concatenate(parts)
     source = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    order = np.lexsort((records["doc"], records["b"], records["a"]))
-    records, source = records[order], source[order]
-    new = np.ones(len(records), bool)
-    new[1:] = (records["a"][1:] != records["a"][:-1]) | (records["b"][1:] != records["b"][:-1])
-    least = records["doc"][new][np.cumsum(new) - 1]
+    least = least_docs(records)
     told = least < records["doc"]
-    records, source, least = records[told].copy(), source[told], least[told]
-    records["doc"] = least
+    records, source = records[told], source[told]
+    records["doc"] = least[told]
     return lists([(0, int(frame["range"].iloc[k]), int(frame["chunk"].iloc[k]), records[source == k].tobytes())
                   for k in np.unique(source).tolist()])
 
@@ -215,27 +225,21 @@ def smaller_elsewhere(frame: pd.DataFrame) -> pd.DataFrame:
 def removed_words(frame: pd.DataFrame, window: int, keep_text: bool) -> pd.DataFrame:
     answer = frame["payload"].notna().to_numpy()
     chunk = Chunk(frame[~answer], window)
-    everything = windows_of(chunk, np.arange(len(chunk.doc)))
-    known = smallest(np.concatenate(
-        [everything, *[np.frombuffer(p, RECORD) for p in frame["payload"][answer]]]))
-    # Keys of one chunk are looked up by both hashes through their order.
-    joined = np.concatenate([known, everything])
-    order = np.lexsort((joined["doc"], joined["b"], joined["a"]))
-    sorted_ = joined[order]
-    new = np.ones(len(sorted_), bool)
-    new[1:] = (sorted_["a"][1:] != sorted_["a"][:-1]) | (sorted_["b"][1:] != sorted_["b"][:-1])
-    least = np.empty(len(joined), np.int64)
-    least[order] = sorted_["doc"][new][np.cumsum(new) - 1] if len(joined) else 0
-    gone = least[len(known):] < everything["doc"]
-    out = []
-    marks = np.zeros(int(sum(map(len, chunk.words))) + 1, np.int64)
-    np.add.at(marks, chunk.starts[gone], 1)
-    np.add.at(marks, chunk.starts[gone] + window, -1)
-    covered = np.cumsum(marks)[:-1] > 0
-    for k, words in enumerate(chunk.words):
-        mine = covered[chunk.first[k]:chunk.first[k] + len(words)]
-        kept = b" ".join([w for w, c in zip(words, mine) if not c]) if mine.any() else b" ".join(words)
-        out.append((None if chunk.ids[k] == NO_ID else chunk.ids[k], len(words), int(mine.sum()),
+    told = np.concatenate([np.zeros(0, RECORD), *[np.frombuffer(p, RECORD) for p in frame["payload"][answer]]])
+    # Only windows met twice in the chunk, or told of, can have to go.
+    ordered = np.sort(chunk.key)
+    again = np.unique(np.concatenate([ordered[1:][ordered[1:] == ordered[:-1]], told["a"]]))
+    at = np.flatnonzero(among(chunk.key, again))
+    mine = chunk.records(at)
+    gone = chunk.starts[at[least_docs(np.concatenate([told, mine]))[len(told):] < mine["doc"]]]
+    marks = np.zeros(len(chunk.words) + window + 1, np.int64)
+    np.add.at(marks, gone, 1)
+    np.add.at(marks, gone + window, -1)
+    covered, out = np.cumsum(marks) > 0, []
+    for doc_id, size, end in zip(chunk.ids.tolist(), chunk.sizes.tolist(), chunk.ends.tolist()):
+        words, marked = chunk.words[end - size:end], covered[end - size:end]
+        kept = b" ".join([w for w, c in zip(words, marked.tolist()) if not c]) if marked.any() else b" ".join(words)
+        out.append((None if doc_id == NO_ID else doc_id, size, int(marked.sum()),
                     hashlib.sha256(kept).hexdigest(), *((kept.decode(),) if keep_text else ())))
     result = pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256"] + ["text"] * keep_text)
     result["doc_id"] = result["doc_id"].astype("Int64")
