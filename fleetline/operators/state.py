@@ -58,7 +58,7 @@ def recent_events(valid: DataFrame, stored: DataFrame, now: Column | None = None
     touched = touches(valid, stored)
     order = [F.col("last_touch").desc(), F.col("event_id").desc()]
     ranked = top_k_per_group(touched, ["device_id"], order, size,
-                             salt=F.abs(F.hash("event_id")) % salts, rank_col="position")
+                             salt=F.pmod(F.hash("event_id"), F.lit(salts)), rank_col="position")
     if now is not None:
         device_touch = Window.partitionBy("device_id")
         ranked = ranked.withColumn("_device_touch", F.max("last_touch.arrival_ts").over(device_touch))
