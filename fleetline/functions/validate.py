@@ -21,6 +21,8 @@ ISO_DATETIME = (r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
                 r"(Z|z|[+-]\d{2}(:?\d{2})?)?$")
 NUMERIC_KINDS = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 INTEGRAL_KINDS = r"^(TINYINT|SMALLINT|INT|BIGINT)$"
+NUMERIC_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+INTEGER_TEXT = r"^\s*([+-]?\d+)(?:\.0*)?\s*$"
 
 
 FIELDS = {
@@ -65,11 +67,20 @@ def _string(name: str) -> Column:
 
 
 def _number(name: str) -> Column:
-    k = F.col(_kind(name))
-    return F.when(k.rlike(NUMERIC_KINDS) | (k == "STRING"),
+    numeric = _string(name).rlike(NUMERIC_TEXT)     # the cast alone takes suffixes such as 72.4d
+    return F.when(F.col(_kind(name)).rlike(NUMERIC_KINDS) | numeric,
                   F.try_variant_get(F.col(_slot(name)), "$", "double"))
 
 
+def _integer(name: str) -> Column:
+    """JSON integers, and numbers or numeric strings without a fraction."""
+    k, slot, text = F.col(_kind(name)), F.col(_slot(name)), _string(name)
+    real = F.try_variant_get(slot, "$", "double")
+    return (F.when(k.rlike(INTEGRAL_KINDS) | (k.rlike(NUMERIC_KINDS) & (real == F.rint(real))),
+                   F.try_variant_get(slot, "$", "bigint"))
+            .when(text.rlike(INTEGER_TEXT), F.regexp_extract(text, INTEGER_TEXT, 1).try_cast("bigint")))
+
+
 def _timestamp(text: Column) -> Column:
     return F.when(text.rlike(ISO_DATETIME), text.try_cast("timestamp"))
 
@@ -81,9 +92,7 @@ def typed_fields(df: DataFrame) -> DataFrame:
     numbers = ["event.temperature", "event.voltage"]
     staged = df.select("*", *[_string(n).alias("_s_" + _slot(n)[3:]) for n in strings],
                        *[_number(n).alias("_n_" + _slot(n)[3:]) for n in numbers],
-                       F.when(F.col(_kind("schema_id")).rlike(INTEGRAL_KINDS),
-                              F.try_variant_get(F.col(_slot("schema_id")), "$", "bigint"))
-                       .alias("_n_schema_id"))
+                       _integer("schema_id").alias("_n_schema_id"))
     return staged.select("*", _timestamp(F.col("_s_event_timestamp")).alias("_t_event_timestamp"),
                          _timestamp(F.col("_s_received_at")).alias("_t_received_at"))
 
@@ -126,14 +135,13 @@ def envelope_errors(upcast: Column) -> Column:
     Reads the columns of :func:`extract_fields` and :func:`typed_fields`;
     ``upcast`` marks version-0 envelopes whose ``schema_id`` becomes 0.
     """
-    schema_kind = F.col(_kind("schema_id"))
     schema_id = F.col("_n_schema_id")
     rules = [
         _rule("schema_id", "field required", ~upcast & _missing("schema_id")),
         _rule("schema_id", "input should be a valid integer",
               ~upcast & ~_missing("schema_id") & schema_id.isNull()),
         _rule("schema_id", "input should be greater than or equal to 0",
-              ~upcast & schema_kind.rlike(INTEGRAL_KINDS) & (schema_id < 0)),
+              ~upcast & (schema_id < 0)),
         _rule("event", "field required", _missing("event")),
         _rule("event", "input should be an object",
               ~_missing("event") & ~F.col(_kind("event")).startswith("OBJECT")),
@@ -154,10 +162,10 @@ def envelope_errors(upcast: Column) -> Column:
 
 def edge_event_errors() -> Column:
     """Rule violations of a bare event at the ingestion edge (the event id is
-    optional there: a missing one is filled in)."""
+    optional there: a missing one is filled in, an explicit null is an error)."""
     rules = [
         _rule("event_id", "input should be a valid string",
-              ~_missing("event.event_id") & F.col("_s_event_event_id").isNull()),
+              F.col(_kind("event.event_id")).isNotNull() & F.col("_s_event_event_id").isNull()),
         *[r for r in _string_rules("event.device_id", 1, DEVICE_ID_MAX_LEN)],
         *_timestamp_rules("event.timestamp"),
         *_number_rules("event.temperature", TEMPERATURE_MIN, TEMPERATURE_MAX),
@@ -190,8 +198,9 @@ def contract_violations(parsed: Column, version: Column) -> Column:
     """Strict contract rules of the published JSON schemas (v0 and v1).
 
     On top of :func:`envelope_errors`: no keys outside the contract (envelope
-    and event), ``schema_version`` exactly 1 and ``schema_id >= 1`` for v1.
-    ``version`` is the *declared* version (0 when absent).
+    and event), ``schema_version`` exactly 1 and ``schema_id >= 1`` for v1, and
+    no number written as a string (or null).  ``version`` is the *declared*
+    version (0 when absent); reads the columns of :func:`extract_fields`.
     """
     keys = F.json_object_keys(F.to_json(parsed))
     event_keys = F.json_object_keys(F.to_json(F.try_variant_get(parsed, "$.event", "variant")))
@@ -207,5 +216,7 @@ def contract_violations(parsed: Column, version: Column) -> Column:
                F.concat(F.lit("event additional properties: "), F.array_join(extra_event, ","))),
         F.when((version == 1) & schema_id.isNotNull() & (schema_id < 1),
                F.lit("schema_id: must be >= 1")),
+        *[F.when(F.col(_kind(n)).isin("STRING", "VOID"), F.lit(f"{n}: must be a JSON number"))
+          for n in ("schema_id", "event.temperature", "event.voltage")],
     ]
     return F.array_compact(F.array(*strict))

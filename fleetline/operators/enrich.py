@@ -11,33 +11,41 @@ in arrival order (not event time), then filtered by event time.
 
 Plan shape (no per-event correlated lookups, no all-pairs band join):
 
-* previous voltage = running arg-max over arrival order, split by 10-minute
-  arrival chunks so one hot device does not sit in one task
+Arrival order is log order: (partition, offset).  A device's deliveries share
+one partition; append times need not rise with offsets.
+
+* previous voltage = running arg-max over arrival order, split by offset
+  chunks so one hot device does not sit in one task
   (:func:`fleetline.operators.sequence.running_max_before`);
-* the mean = (sliding event-time window over *all* stored rows of the device,
-  grouped by 5-minute bucket with the previous bucket copied in) minus the
-  row itself minus the rows that arrived *later* but lie in the window.  A
-  row can only be such a later row if it is late (its timestamp is not above
-  the newest earlier arrival), so the correction joins late rows only, on
-  30-second sub-buckets.  Work is O(n + L), L = (late row, overtaken row
-  within 5 minutes) pairs; L = 0 for an in-order stream.
+* the mean = (running sums over *all* stored rows of the device, where a row
+  adds its value at its timestamp and takes it back just after 5 minutes,
+  :func:`fleetline.operators.sequence.running_sums`) minus the row itself
+  minus the rows that arrived *later* but lie in the window.  A row can only
+  be such a later row if it is late (its timestamp is not above the newest
+  earlier arrival), so the correction joins late rows only, on 30-second
+  sub-buckets.  Sums are decimals, so nothing is lost by taking back.  Work is
+  O(n + L), L = (late row, overtaken row within 5 minutes) pairs; L = 0 for an
+  in-order stream.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetline.constants import (
     OUTLIER_HIGH, OUTLIER_LOW, TRAILING_WINDOW_SECONDS, VOLTAGE_DROP_THRESHOLD,
 )
-from fleetline.operators.sequence import running_max_before
+from fleetline.operators.sequence import running_max_before, running_sums
 
 WINDOW_US = TRAILING_WINDOW_SECONDS * 1000000
 SUB_BUCKET_US = 30 * 1000000
-ARRIVAL_CHUNK_US = 600 * 1000000      # a hot device is spread over its 10-minute arrival chunks
+OFFSET_CHUNK = 1 << 16                # a hot device is spread over chunks of its partition's offsets
+EXACT = "decimal(18,14)"              # valid temperatures have three digits before the point
 
-ARRIVAL_ORDER = ["arrival_ts", "source_partition", "source_offset"]
+ARRIVAL_ORDER = ["source_partition", "source_offset", "arrival_ts"]
 
 EVENT_COLUMNS = [
     "event_id", "device_id", "timestamp", "received_at", "processed_at", "temperature",
@@ -46,10 +54,6 @@ EVENT_COLUMNS = [
 ]
 
 
-def arrival_key():
-    return F.struct(*[F.col(c) for c in ARRIVAL_ORDER])
-
-
 def first_arrivals(valid: DataFrame) -> DataFrame:
     """The first valid delivery of every ``event_id`` (global, first wins).
 
@@ -67,34 +71,33 @@ def lag_ms(processed_at, ts):
     return F.expr(f"(unix_micros({processed_at}) - unix_micros({ts})) div 1000")
 
 
-def previous_reading(stored: DataFrame) -> DataFrame:
+def previous_reading(stored: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
     """Adds ``_prev`` = struct(ts_us, arrival..., voltage) of the newest earlier arrival."""
     with_us = stored.withColumn("_ts_us", F.unix_micros("timestamp"))
-    value = F.struct(F.col("_ts_us").alias("ts_us"), *[F.col(c) for c in ARRIVAL_ORDER],
+    value = F.struct(F.col("_ts_us").alias("ts_us"), *[F.col(c) for c in order],
                      F.col("voltage").alias("voltage"))
+    offset = list(order).index("source_offset")
     return running_max_before(
-        with_us, ["device_id"], ARRIVAL_ORDER,
-        chunk=F.expr(f"unix_micros(arrival_ts) div {ARRIVAL_CHUNK_US}"),
+        with_us, ["device_id"], order,
+        chunk=F.struct(*order[:offset], F.expr(f"source_offset div {OFFSET_CHUNK}").alias("offset_chunk")),
         value=value, out="_prev")
 
 
 def _window_totals(stored: DataFrame) -> DataFrame:
     """Sum and count of temperatures of *all* stored rows of the device with
     timestamp in ``[t - 5 min, t]``, per event (the row itself included)."""
-    base = stored.select("device_id", "event_id", F.unix_micros("timestamp").alias("_ts_us"),
-                         "temperature")
-    own = base.withColumn("_g", F.expr(f"_ts_us div {WINDOW_US}")).withColumn("_query", F.lit(True))
-    spill = (base.withColumn("_g", F.expr(f"_ts_us div {WINDOW_US} + 1"))
-             .withColumn("_query", F.lit(False)))
-    frame = Window.partitionBy("device_id", "_g").orderBy("_ts_us").rangeBetween(-WINDOW_US, 0)
-    return (own.unionByName(spill)
-            .select("event_id", "_query",
-                    F.sum("temperature").over(frame).alias("_a_sum"),
-                    F.count(F.lit(1)).over(frame).alias("_a_n"))
-            .filter("_query").drop("_query"))
-
-
-def _later_arrivals_in_window(stored: DataFrame, rows: DataFrame) -> DataFrame:
+    own = stored.select("device_id", "event_id", F.unix_micros("timestamp").alias("_at"),
+                        F.col("temperature").cast(EXACT).alias("_temp"), F.lit(1).alias("_one"))
+    gone = own.select("device_id", F.lit(None).cast("string").alias("event_id"),
+                      (F.col("_at") + WINDOW_US + 1).alias("_at"),
+                      (-F.col("_temp")).cast(EXACT).alias("_temp"), F.lit(-1).alias("_one"))
+    sums = running_sums(own.unionByName(gone), ["device_id"], "_at", SUB_BUCKET_US,
+                        {"_a_sum": F.col("_temp"), "_a_n": F.col("_one")})
+    return sums.filter("_one = 1").select("event_id", "_a_sum", "_a_n")
+
+
+def _later_arrivals_in_window(stored: DataFrame, rows: DataFrame,
+                              order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
     """Per event: sum and count of rows that arrived later yet lie in its window.
 
     ``rows`` carries ``_prev`` (to find late rows); candidates come from ``stored``.
@@ -102,13 +105,13 @@ def _later_arrivals_in_window(stored: DataFrame, rows: DataFrame) -> DataFrame:
     late = rows.filter(F.col("_prev").isNotNull() & (F.col("_ts_us") <= F.col("_prev.ts_us"))).select(
         "device_id",
         F.col("_ts_us").alias("_p_ts"),
-        arrival_key().alias("_p_arr"),
-        F.col("temperature").alias("_p_temp"),
+        F.struct(*order).alias("_p_arr"),
+        F.col("temperature").cast(EXACT).alias("_p_temp"),
         F.explode(F.sequence(F.expr(f"_ts_us div {SUB_BUCKET_US}"),
                              F.expr(f"(_ts_us + {WINDOW_US}) div {SUB_BUCKET_US}"))).alias("_s"),
     )
     cand = stored.select("device_id", "event_id", F.unix_micros("timestamp").alias("_c_ts"),
-                         arrival_key().alias("_c_arr")) \
+                         F.struct(*order).alias("_c_arr")) \
         .withColumn("_s", F.expr(f"_c_ts div {SUB_BUCKET_US}"))
     pairs = cand.join(late, ["device_id", "_s"]).where(
         (F.col("_p_arr") > F.col("_c_arr"))
@@ -117,20 +120,22 @@ def _later_arrivals_in_window(stored: DataFrame, rows: DataFrame) -> DataFrame:
                                          F.count(F.lit(1)).alias("_b_n"))
 
 
-def enrich(stored: DataFrame) -> DataFrame:
+def enrich(stored: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
     """Enriched event rows (13 columns plus source coordinates) of stored events.
 
     ``stored`` holds the first delivery of every event with the typed event
-    fields, ``received_at``, ``processed_at`` and the arrival order columns.
-    It is read three times (running arg-max, window totals, late-row
-    candidates), so it should be a materialised table, not a long lineage.
+    fields, ``received_at``, ``processed_at`` and the arrival order columns
+    (``order`` may put a column before them).  It is read three times (running
+    arg-max, window totals, late-row candidates), so it should be a
+    materialised table, not a long lineage.
     """
-    prev = previous_reading(stored)
+    prev = previous_reading(stored, order)
     totals = _window_totals(stored)
-    later = _later_arrivals_in_window(stored, prev)
+    later = _later_arrivals_in_window(stored, prev, order)
     joined = prev.join(totals, "event_id").join(later, "event_id", "left")
     n = F.col("_a_n") - 1 - F.coalesce(F.col("_b_n"), F.lit(0))
-    s = F.col("_a_sum") - F.col("temperature") - F.coalesce(F.col("_b_sum"), F.lit(0.0))
+    s = (F.col("_a_sum") - F.col("temperature").cast(EXACT)
+         - F.coalesce(F.col("_b_sum"), F.lit(0))).cast("double")
     return joined.select(
         "event_id", "device_id", "timestamp", "received_at", "processed_at",
         "temperature", "voltage", "status", "region",

@@ -65,6 +65,31 @@ def running_max_before(df: DataFrame, keys: Sequence[str], order: Sequence[str |
             .drop("_chunk", "_v", "_carry", "_local"))
 
 
+def running_sums(df: DataFrame, keys: Sequence[str], position: str, chunk_width: int,
+                 values: dict[str, Column]) -> DataFrame:
+    """Sums of ``values`` over the rows at or before each row's ``position``.
+
+    ``values`` maps output columns to summed columns; ``position`` is an
+    integer column, rows of equal position see each other.  Equal to
+    ``sum(v) OVER (PARTITION BY keys ORDER BY position RANGE UNBOUNDED
+    PRECEDING)``, but a hot key is spread over its position chunks.  The frame
+    only grows, so the work is linear.  Give decimals or integers: both sides
+    of the split are then exact.
+    """
+    keys = list(keys)
+    staged = df.withColumn("_chunk", F.floor(F.col(position) / F.lit(chunk_width))) \
+        .withColumns({f"_v_{n}": c for n, c in values.items()})
+    per_chunk = staged.groupBy(*keys, "_chunk").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_chunk.select(*keys, "_chunk", *[F.sum(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n in values])
+    upto = Window.partitionBy(*keys, "_chunk").orderBy(position).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = staged.select("*", *[F.sum(f"_v_{n}").over(upto).alias(f"_l_{n}") for n in values])
+    return (local.join(carried, [*keys, "_chunk"])
+            .withColumns({n: F.coalesce(F.col(f"_c_{n}"), F.lit(0)) + F.col(f"_l_{n}") for n in values})
+            .drop("_chunk", *[f"_{p}_{n}" for p in "vlc" for n in values]))
+
+
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
                     salt: Column, rank_col: str = "rank") -> DataFrame:
     """Rows ranked 1..k per key by ``order`` (descending etc. in ``order``).

@@ -27,8 +27,8 @@ def device_status(events: DataFrame, current: DataFrame | None = None) -> DataFr
     """
     rows = events.select(
         "device_id",
-        F.struct(F.col("timestamp").alias("last_seen"), "arrival_ts", "source_partition",
-                 "source_offset", "region", "status", "temperature", "voltage").alias("_winner"))
+        F.struct(F.col("timestamp").alias("last_seen"), "source_partition", "source_offset",
+                 "arrival_ts", "region", "status", "temperature", "voltage").alias("_winner"))
     if current is not None:
         rows = rows.unionByName(current.select("device_id", "_winner"))
     folded = rows.groupBy("device_id").agg(F.max("_winner").alias("_winner"))
@@ -43,7 +43,7 @@ def touches(valid: DataFrame, stored: DataFrame) -> DataFrame:
     to the front); the device is the stored row's device.
     """
     last = valid.groupBy("event_id").agg(
-        F.max(F.struct("arrival_ts", "source_partition", "source_offset")).alias("last_touch"))
+        F.max(F.struct("source_partition", "source_offset", "arrival_ts")).alias("last_touch"))
     return stored.join(last, "event_id")
 
 

@@ -77,21 +77,29 @@ def batch_requests(elements: DataFrame) -> DataFrame:
 def split_batches(requests: DataFrame) -> DataFrame:
     """S3: accept/reject every element of a batch request by position.
 
-    A request above the ceiling is rejected whole before it is split.  A bad
-    element does not fail the request; the rejected positions come back in
+    One row per request.  A request above the ceiling is rejected whole before
+    it is split (``admitted`` false, every event rejected, no positions); an
+    empty or null one is admitted with nothing in it.  A bad element does not
+    fail the request; the rejected positions and their errors come back in
     order.  Arrays are bounded by the ceiling, so nothing unbounded is
     collected.
     """
-    admitted = requests.filter(F.size("events") <= MAX_BATCH_EVENTS)
-    items = admitted.select("request_id", F.posexplode("events").alias("position", "element"))
+    sized = requests.select("request_id", "events", F.coalesce(F.size("events"), F.lit(0)).cast("bigint")
+                            .alias("submitted")).withColumn("admitted", F.col("submitted") <= MAX_BATCH_EVENTS)
+    items = sized.select("request_id", "submitted", "admitted", F.posexplode_outer(
+        F.when(F.col("admitted"), F.col("events"))).alias("position", "element"))
     checked = check_elements(items)
-    bad = F.size("errors") > 0
-    return checked.groupBy("request_id").agg(
-        F.count(F.lit(1)).alias("submitted"),
-        F.count_if(~bad).alias("accepted"),
-        F.count_if(bad).alias("rejected"),
-        F.array_join(F.sort_array(F.collect_list(F.when(bad, F.col("position")))), ",").alias("rejected_positions"),
-    )
+    there = F.col("position").isNotNull()
+    bad = there & (F.size("errors") > 0)
+    rejections = F.sort_array(F.collect_list(F.when(bad, F.struct(
+        "position", F.array_join("errors", "; ").alias("error")))))
+    split = checked.groupBy("request_id", "submitted", "admitted").agg(
+        F.count_if(there & ~bad).alias("accepted"), rejections.alias("rejections"))
+    return split.select(
+        "request_id", "submitted", "admitted", "accepted",
+        (F.col("submitted") - F.col("accepted")).alias("rejected"),
+        F.array_join(F.col("rejections.position").cast("array<string>"), ",").alias("rejected_positions"),
+        "rejections")
 
 
 def ceiling(checked: DataFrame) -> DataFrame:

@@ -1,49 +1,50 @@
-"""Batch job entry points: one ingest run over a log folder into a table root.
-
-Tables are written as Parquet under ``root`` (a shared folder on a cluster):
-``events`` partitioned by ``event_date`` and sorted by (device, timestamp)
-inside each file so device/time predicates prune row groups; dead letters,
-ledger and device state next to it.  Intermediate frames that are read more
-than once (routed deliveries, stored first arrivals) are written under
-``root/_work/<run>`` instead of being recomputed.
+"""Batch job entry points: ingest runs over log folders into a table root.
+
+A run is one batch of the streaming job's :func:`process_batch`: it stores the
+events that no earlier run stored, enriched against what they stored, and
+appends its rows under its own run number.  Tables are Parquet under ``root``
+(a shared folder on a cluster); ``events`` lies by ``event_date`` and is sorted
+by (device, timestamp) inside each file, so date, device and time predicates
+prune.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetline.plans.pipeline import IngestResult, ingest
 from fleetline.session import prepare_session
-from fleetline.streaming.job import DELIVERY_SCHEMA
+from fleetline.streaming.job import (
+    DELIVERY_SCHEMA, TableStore, note_run, next_run, process_batch, read_or_none,
+)
 
 
-def _writer(root: str, run: str):
-    def materialize(df: DataFrame, name: str) -> DataFrame:
-        spark = df.sparkSession
-        if name == "events":
-            path = f"{root}/events"
-            (df.repartition("event_date", "device_id").sortWithinPartitions("device_id", "timestamp")
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("event_date").parquet(path))
-            return spark.read.parquet(path)
-        path = f"{root}/_work/{run}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    return materialize
+def _open_run(spark: SparkSession, store: TableStore, log_path: str) -> int:
+    """The number of an unfinished run over the same log, else a new one."""
+    runs = read_or_none(spark, store.path("runs"))
+    if runs is not None:
+        done = runs.filter("state = 'done'").select("run")
+        left = runs.filter((F.col("state") == "begun") & (F.col("source") == log_path)) \
+            .join(done, "run", "left_anti").agg(F.max("run")).first()[0]
+        if left is not None:
+            return left
+    run = next_run(spark, store)
+    note_run(spark, store, log_path, "begun", run)
+    return run
 
 
 def run_ingest(spark: SparkSession, log_path: str, root: str,
-               processing_time: Callable[[DataFrame], Column] | None = None,
-               batch_id: int = 0) -> IngestResult:
-    """Ingest every delivery file under ``log_path`` into the tables at ``root``."""
+               processing_time: Callable[[DataFrame], Column] | None = None) -> TableStore:
+    """Ingest every delivery file under ``log_path`` into the tables at ``root``.
+
+    A run that failed is repeated under its number by calling this again with
+    the same log.
+    """
     prepare_session(spark)
-    root = root.rstrip("/")
-    log = spark.read.schema(DELIVERY_SCHEMA).parquet(log_path)
-    result = ingest(log, processing_time, batch_id=batch_id, materialize=_writer(root, uuid.uuid4().hex))
-    result.dead_letters.write.mode("overwrite").parquet(f"{root}/dead_letters")
-    result.ledger.write.mode("overwrite").parquet(f"{root}/ledger")
-    result.device_status.write.mode("overwrite").parquet(f"{root}/device_status")
-    return result
+    store = TableStore(root)
+    run = _open_run(spark, store, log_path)
+    process_batch(spark.read.schema(DELIVERY_SCHEMA).parquet(log_path), 0, store, processing_time, run)
+    note_run(spark, store, log_path, "done", run)
+    return store

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fleetline.constants import (
     ALERTS_DEFAULT_LIMIT, ALERTS_MAX_LIMIT, DEVICE_HISTORY_DEFAULT_LIMIT, DEVICE_HISTORY_MAX_LIMIT,
-    LATEST_DEVICES, LOW_VOLTAGE, OUTLIER_HIGH, OUTLIER_LOW, TREND_BUCKETS, TREND_ROW_CAP,
+    LATEST_DEVICES, LOW_VOLTAGE, OUTLIER_HIGH, OUTLIER_LOW, TREND_BUCKETS,
 )
 from fleetline.operators.enrich import EVENT_COLUMNS
 
@@ -60,7 +60,7 @@ def latest_per_device(events: DataFrame) -> DataFrame:
     A max over a struct led by (timestamp, arrival): partial aggregation,
     so a hot device is reduced map-side.
     """
-    packed = F.max(F.struct("timestamp", "arrival_ts", "source_partition", "source_offset",
+    packed = F.max(F.struct("timestamp", "source_partition", "source_offset",
                             *[F.col(c).alias(c) for c in EVENT_COLUMNS if c not in ("timestamp", "device_id")]))
     return events.groupBy("device_id").agg(packed.alias("_l")).select(
         "device_id", *[F.col(f"_l.{c}").alias(c) for c in EVENT_COLUMNS if c != "device_id"])
@@ -95,13 +95,15 @@ def region_health(status: DataFrame) -> DataFrame:
     ).orderBy("region")
 
 
-def minute_trend(events: DataFrame, row_cap: int = TREND_ROW_CAP,
+def minute_trend(events: DataFrame, row_cap: int | None = None,
                  buckets: int = TREND_BUCKETS) -> DataFrame:
-    """Q8: newest ``row_cap`` events by processing time -> minute buckets ->
-    newest ``buckets`` buckets, ascending.  Failures = not OK.  The cap is part
-    of the result (the oldest bucket may be partial); empty minutes are absent."""
-    recent = (events.select("event_id", "processed_at", "status", "event_lag_ms", "temperature", "voltage")
-              .orderBy(F.col("processed_at").desc(), F.col("event_id").desc()).limit(row_cap))
+    """Q8: minute buckets by processing time -> newest ``buckets`` buckets,
+    ascending.  Failures = not OK; empty minutes are absent.  ``row_cap``
+    (for example ``TREND_ROW_CAP``) reads the newest events only, so that the
+    oldest bucket may be partial; by default every event counts."""
+    recent = events.select("event_id", "processed_at", "status", "event_lag_ms", "temperature", "voltage")
+    if row_cap is not None:
+        recent = recent.orderBy(F.col("processed_at").desc(), F.col("event_id").desc()).limit(row_cap)
     per_minute = recent.groupBy(F.date_trunc("minute", "processed_at").alias("bucket")).agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("status") != "OK").alias("failures"),

@@ -407,7 +407,7 @@ def envelope_build(c):
 def batch_accept_reject(c):
     """S3: per batch request: accepted, rejected and the rejected positions."""
     from fleetline.plans.edge import batch_requests, edge_elements, split_batches
-    return split_batches(batch_requests(edge_elements(c.table("events"))))
+    return split_batches(batch_requests(edge_elements(c.table("events")))).drop("rejections")
 
 
 @register("batch_ceiling")

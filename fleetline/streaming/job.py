@@ -4,16 +4,20 @@
 path, else a folder of delivery files) -> ``foreachBatch`` -> the same
 operators as the batch job.  Per micro-batch:
 
-1. route the batch (persisted: both branches are written);
-2. history = the stored events of *earlier* batches (``batch_id <`` this one:
-   a retried batch sees neither itself nor anything stored after it);
+1. route the batch (kept: both branches are written);
+2. history = the stored events of other runs and of this run's *earlier*
+   batches (a retried batch sees neither itself nor anything after it);
 3. insert-if-absent: first arrivals of the batch anti-joined with history;
 4. enrich the new events against history, reading only what they can see:
    for each device of the batch, the stored rows in its 5-minute band and
    its newest stored reading (exact, see :func:`enrich_batch`);
-5. write events, dead letters and ledger rows into their ``batch_id``
-   partition with dynamic partition overwrite, and the device state as a new
-   version: a retried batch rewrites exactly what it wrote before.
+5. write dead letters, ledger rows, device states and events into their
+   (run, batch id) partition with dynamic partition overwrite: a retried batch
+   rewrites exactly what it wrote before, and no other rows.  The run number
+   belongs to the checkpoint folder (:func:`stream_run`).
+
+Device states and dead letters are folded when read (:meth:`TableStore.status`,
+:meth:`TableStore.dead_letters`).  One run writes to a store at a time.
 
 No watermark and no event-time window state: late events of any age are
 accepted, as history is the stored table itself.  The checkpoint folder
@@ -25,7 +29,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +36,7 @@ from pyspark.sql import types as T
 from fleetline.operators import enrich as E
 from fleetline.operators import route as R
 from fleetline.operators import state as S
-from fleetline.plans.pipeline import dead_letter_rows
+from fleetline.plans.pipeline import Materialize, dead_letter_rows, lazy
 
 DELIVERY_SCHEMA = T.StructType([
     T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType()),
@@ -63,9 +66,67 @@ class TableStore:
                 return None
             raise
 
-    def write_partition(self, df: DataFrame, name: str) -> None:
+    def write_batch(self, df: DataFrame, name: str, run: int, batch_id: int) -> None:
+        """Write the rows of one batch of one run; a repetition replaces them.
+        Events also lie by date, and by device and time inside a file; a hot
+        device's day is dealt by hour."""
+        df = df.withColumn("run", F.lit(run).cast("bigint")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        parts = ["run", "batch_id"]
+        if name == "events":
+            parts = ["event_date", *parts]
+            df = df.repartition("event_date", "device_id", F.date_trunc("hour", "timestamp")) \
+                .sortWithinPartitions(*parts, "device_id", "timestamp")
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.path(name)))
+         .partitionBy(*parts).parquet(self.path(name)))
+
+    def earlier(self, spark: SparkSession, name: str, run: int, batch_id: int) -> DataFrame | None:
+        """Rows of other runs and of this run's earlier batches: what a
+        repeated batch has written itself, or later, is not history."""
+        df = self.read(spark, name)
+        return None if df is None else df.filter((F.col("run") != run) | (F.col("batch_id") < batch_id))
+
+    def status(self, spark: SparkSession, rows: DataFrame | None = None) -> DataFrame | None:
+        """The current device state: every batch writes the devices it saw."""
+        rows = self.read(spark, "device_status") if rows is None else rows
+        return None if rows is None else rows.groupBy("device_id").agg(F.max("_winner").alias("_winner")).select(
+            "device_id", "_winner.region", "_winner.last_seen", "_winner.status", "_winner.temperature",
+            "_winner.voltage")
+
+    def dead_letters(self, spark: SparkSession) -> DataFrame | None:
+        """One row per coordinate over all batches: first payload and
+        creation time, latest reason."""
+        rows, when = self.read(spark, "dead_letters"), F.struct("created_at", "run", "batch_id")
+        return None if rows is None else rows.groupBy("source_topic", "source_partition", "source_offset").agg(
+            F.min_by("payload", when).alias("payload"), F.max_by("reason", when).alias("reason"),
+            F.min("created_at").alias("created_at"), F.min("arrival_ts").alias("arrival_ts"))
+
+
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    return TableStore(path.rstrip("/").rpartition("/")[0]).read(spark, path.rstrip("/").rpartition("/")[2])
+
+
+def next_run(spark: SparkSession, store: TableStore) -> int:
+    """A run number above all in the store."""
+    started = read_or_none(spark, store.path("runs"))
+    return 0 if started is None else started.agg(F.coalesce(F.max("run"), F.lit(-1))).first()[0] + 1
+
+
+def note_run(spark: SparkSession, store: TableStore, source: str, state: str, run: int) -> None:
+    spark.createDataFrame([(run, source, state)], "run bigint, source string, state string") \
+        .coalesce(1).write.mode("append").parquet(store.path("runs"))
+
+
+def stream_run(spark: SparkSession, store: TableStore, source: str, checkpoint: str) -> int:
+    """The run number of a checkpoint folder, kept in it.  A fresh checkpoint
+    over a filled store is a new run: batch ids start again, tables stay."""
+    path = f"{checkpoint.rstrip('/')}/ingest_run"
+    known = read_or_none(spark, path)
+    if known is None:
+        run = next_run(spark, store)
+        note_run(spark, store, source, "stream", run)
+        spark.createDataFrame([(run,)], "run bigint").coalesce(1).write.parquet(path)
+        return run
+    return known.first()["run"]
 
 
 def raw_stream(spark: SparkSession, source: str, *, kafka_servers: str | None = None,
@@ -88,70 +149,75 @@ def raw_stream(spark: SparkSession, source: str, *, kafka_servers: str | None =
     return reader.parquet(source)
 
 
-def enrich_batch(new: DataFrame, history: DataFrame | None) -> DataFrame:
+def enrich_batch(new: DataFrame, history: DataFrame | None, materialize: Materialize = lazy) -> DataFrame:
     """Enrich the first arrivals of a batch against the stored history.
 
     Only two kinds of stored rows can influence a new row: rows of the same
     device within 5 minutes before its timestamp (the trailing mean) and the
     device's newest stored reading (the drop check).  Those are unioned with
     the batch, enriched together, and only the batch rows are kept.  Every
-    history row arrived before every batch row, so the result equals the
-    one-shot enrichment.
+    history row comes before every batch row, whatever its offset, so the
+    result equals the one-shot enrichment.  ``materialize`` is called once, on
+    the union, which is read three times; ``new`` should be a written table.
     """
     if history is None:
         return E.enrich(new)
     band = new.groupBy("device_id").agg(
         (F.unix_micros(F.min("timestamp")) - E.WINDOW_US).alias("_from_us"))
     cols = new.columns
-    hist = history.select(*cols).join(band, "device_id", "left_semi")
-    near = hist.join(band, "device_id").filter(F.unix_micros("timestamp") >= F.col("_from_us")).select(*cols)
-    newest = hist.groupBy("device_id").agg(
-        F.max(F.struct("timestamp", *E.ARRIVAL_ORDER, *[c for c in cols if c not in
-                                                         ("timestamp", "device_id", *E.ARRIVAL_ORDER)]))
-        .alias("_m")).select("device_id", "_m.*").select(*cols)
+    rest = [c for c in cols if c not in ("timestamp", "device_id", *E.ARRIVAL_ORDER)]
+    seen = history.select(*cols).join(band, "device_id")
+    near = seen.filter(F.unix_micros("timestamp") >= F.col("_from_us")).select(*cols)
+    newest = seen.groupBy("device_id").agg(
+        F.max(F.struct("timestamp", *E.ARRIVAL_ORDER, *rest)).alias("_m")).select("device_id", "_m.*").select(*cols)
     context = near.unionByName(newest).dropDuplicates(["event_id"])
-    both = context.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
-    enriched = E.enrich(both.drop("_new"))
-    return enriched.join(new.select("event_id"), "event_id", "left_semi")
+    both = materialize(context.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1))), "context")
+    enriched = E.enrich(both, ["_new", *E.ARRIVAL_ORDER])
+    return enriched.join(both.filter("_new = 1").select("event_id"), "event_id", "left_semi")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def process_batch(batch: DataFrame, batch_id: int, store: TableStore,
-                  processing_time: Callable[[DataFrame], Column] | None = None) -> None:
-    """``foreachBatch`` body; idempotent for a given ``batch_id``."""
+                  processing_time: Callable[[DataFrame], Column] | None = None, run: int = 0) -> None:
+    """Ingest one batch into the store; the batch job and ``foreachBatch`` both
+    call it.  Idempotent for a given (run, batch id), and it never touches
+    rows of another.  Events are written last: a batch whose events are
+    missing is simply done again.  Frames that are read more than once are
+    written under the store's ``_work`` folder, which keeps plans short and
+    survives lost executors, and deleted when the batch is done.
+    """
     spark = batch.sparkSession
-    routed = R.route(batch, processing_time).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stored_all = store.read(spark, "events")
-        history = None if stored_all is None else stored_all.filter(F.col("batch_id") < batch_id)
-        valid = R.valid_deliveries(routed)
-        first = E.first_arrivals(valid).select(*STORED_COLUMNS)
-        if history is not None:
-            first = first.join(history.select("event_id"), "event_id", "left_anti")
-        hist_rows = None if history is None else history.select(*STORED_COLUMNS)
-        events = enrich_batch(first, hist_rows).withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
-            .withColumn("event_date", F.to_date("timestamp"))
-        events = events.persist(StorageLevel.MEMORY_AND_DISK)
-        store.write_partition(events, "events")
-        store.write_partition(dead_letter_rows(R.failed_deliveries(routed))
-                              .withColumn("batch_id", F.lit(batch_id).cast("bigint")), "dead_letters")
-        store.write_partition(S.ledger_rows(events).withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                              "ledger")
-        prev_status = store.read(spark, "device_status")
-        if prev_status is not None:
-            prev_status = prev_status.filter(F.col("batch_id") == F.lit(batch_id - 1))
-        status = S.device_status(events, prev_status).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        store.write_partition(status, "device_status")
-        events.unpersist()
-    finally:
-        routed.unpersist()
+    work = store.path(f"_work/{run}-{batch_id}")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{work}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{work}/{name}")
+
+    routed = written(R.route(batch, processing_time), "routed")
+    history = store.earlier(spark, "events", run, batch_id)
+    first = E.first_arrivals(R.valid_deliveries(routed)).select(*STORED_COLUMNS)
+    if history is not None:
+        first = first.join(history.select("event_id"), "event_id", "left_anti")
+    first = written(first, "first")
+    events = written(enrich_batch(first, history, written).withColumn("event_date", F.to_date("timestamp")), "enriched")
+    store.write_batch(dead_letter_rows(R.failed_deliveries(routed)), "dead_letters", run, batch_id)
+    store.write_batch(S.ledger_rows(events), "ledger", run, batch_id)
+    store.write_batch(S.device_status(events), "device_status", run, batch_id)
+    store.write_batch(events, "events", run, batch_id)
+    delete(spark, work)
 
 
 def start(spark: SparkSession, source: str, store: TableStore, checkpoint: str, *,
           kafka_servers: str | None = None, max_per_trigger: int | None = None,
           processing_time: Callable[[DataFrame], Column] | None = None, available_now: bool = True):
     """Start the ingest stream; returns the ``StreamingQuery``."""
+    run = stream_run(spark, store, source, checkpoint)
     stream = raw_stream(spark, source, kafka_servers=kafka_servers, max_per_trigger=max_per_trigger)
     writer = (stream.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, bid: process_batch(df, bid, store, processing_time)))
+              .foreachBatch(lambda df, bid: process_batch(df, bid, store, processing_time, run)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="250 milliseconds")
     return writer.start()
