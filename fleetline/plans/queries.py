@@ -15,7 +15,7 @@ from fleetline.constants import (
     ALERTS_DEFAULT_LIMIT, ALERTS_MAX_LIMIT, DEVICE_HISTORY_DEFAULT_LIMIT, DEVICE_HISTORY_MAX_LIMIT,
     LATEST_DEVICES, LOW_VOLTAGE, OUTLIER_HIGH, OUTLIER_LOW, TREND_BUCKETS,
 )
-from fleetline.operators.enrich import EVENT_COLUMNS
+from fleetline.operators.enrich import EVENT_COLUMNS, EXACT
 
 
 def _check_limit(limit: int, high: int) -> int:
@@ -95,6 +95,11 @@ def region_health(status: DataFrame) -> DataFrame:
     ).orderBy("region")
 
 
+def exact_mean(name: str) -> Column:
+    """Mean by a decimal sum: the same whatever order the rows are added in."""
+    return F.sum(F.col(name).cast(EXACT)).cast("double") / F.count(name)
+
+
 def minute_trend(events: DataFrame, row_cap: int | None = None,
                  buckets: int = TREND_BUCKETS) -> DataFrame:
     """Q8: minute buckets by processing time -> newest ``buckets`` buckets,
@@ -108,8 +113,8 @@ def minute_trend(events: DataFrame, row_cap: int | None = None,
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("status") != "OK").alias("failures"),
         F.avg("event_lag_ms").alias("avg_lag_ms"),
-        F.avg("temperature").alias("avg_temperature"),
-        F.avg("voltage").alias("avg_voltage"),
+        exact_mean("temperature").alias("avg_temperature"),
+        exact_mean("voltage").alias("avg_voltage"),
     )
     return per_minute.orderBy(F.col("bucket").desc()).limit(buckets).orderBy("bucket")
 
