@@ -47,7 +47,7 @@ from fleetline.operators.sequence import dense_sequence
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
-NODES = 50_000
+NODES = 200_000
 #: Fillings of up to this many pieces are enumerated one by one.
 DEPTH = 8
 BUCKET_ROWS = 20_000
@@ -163,6 +163,7 @@ def fillings_of(left: dict[int, int], present: list[int], room: int, top: int, b
     fit first; beyond ``DEPTH`` pieces only the best fit of the rest."""
     top = min(top, bisect_right(present, room) - 1)
     if depth >= DEPTH:
+        budget[0] -= 1
         rest = fullest(left, present, room, top)
         yield room - sum(n * c for n, c in rest), rest
         return
@@ -195,7 +196,7 @@ def dominated(items: list[int], by: list[int]) -> bool:
 
 
 def undominated(left: dict[int, int], present: list[int], room: int, slack: int, budget: list[int],
-                look: int = 16) -> Iterator[list[tuple[int, int]]]:
+                look: int = 256) -> Iterator[list[tuple[int, int]]]:
     """Fillings of ``room`` with at most ``slack`` waste that none listed before
     dominates.  They come in runs of ``look``, least waste first within a run,
     and a filling without waste at once: the search seldom needs more.  One
@@ -206,6 +207,7 @@ def undominated(left: dict[int, int], present: list[int], room: int, slack: int,
 
     def fresh(filling) -> bool:
         items = [n for n, c in filling for _ in range(c)]
+        budget[0] -= len(kept) // 16        # what the tests cost, against a listing's own step
         if any(dominated(items, k) for k in kept) or (kept and len(kept[0]) and sum(items) <= kept[0][0]):
             return False
         kept.append(items)
@@ -308,6 +310,11 @@ def bin_completion(counts: dict[int, int], capacity: int,
             used, waste = used - times, waste - more
         else:
             stack.append(branches())
+    if path and bins > bound and budget[0] <= 0:
+        # The steps are used up: a best-fit dive completes the branch at hand.
+        branch = path + dive({n: left[n] for n in present}, capacity)
+        if sum(t for t, _ in branch) < bins:
+            best = branch
     return best
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -171,6 +172,20 @@ def test_bin_completion_is_optimal_on_small_cases():
     assert improved
 
 
+def test_packing_search_ends_on_many_lengths():
+    rng = random.Random(3)
+    counts = Counter(min(4096, 130 + int(rng.lognormvariate(6.3, 1.1))) for _ in range(20_000))
+    began = time.monotonic()
+    plan, used = packing.bin_completion(counts, 4096), Counter()
+    assert time.monotonic() - began < 60
+    for times, filling in plan:
+        assert sum(n * c for n, c in filling) <= 4096
+        used.update({n: times * c for n, c in filling})
+    bins = sum(t for t, _ in plan)
+    assert used == counts
+    assert packing.lower_bound(counts, 4096) <= bins < sum(t for t, _ in packing.dive(counts, 4096))
+
+
 def test_packing_holds_every_token_once(spark, documents, texts):
     from tokenizers import Tokenizer
     import public_tokenizers
