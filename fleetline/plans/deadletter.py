@@ -35,12 +35,12 @@ def by_reason(dead: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("dead_letters"))
 
 
-def restore(dead: DataFrame) -> DataFrame:
+def restore(dead: DataFrame, *keep: str) -> DataFrame:
     """L3+L4: bytes to replay and the replay key.
 
     A payload whose key set is exactly ``{raw_base64}`` is decoded back to the
     original bytes; any other payload is replayed as its JSON text.  The key
-    is ``event.device_id`` when present.
+    is ``event.device_id`` when present.  ``keep``: further columns to carry.
     """
     keys = F.json_object_keys("payload")
     raw = F.size(keys) == 1
@@ -48,7 +48,7 @@ def restore(dead: DataFrame) -> DataFrame:
     data = F.when(raw, F.unbase64(F.get_json_object("payload", "$.raw_base64"))) \
         .otherwise(F.encode("payload", "UTF-8"))
     key = F.get_json_object("payload", "$.event.device_id")
-    return dead.select(*COORDS, "reason",
+    return dead.select(*COORDS, *keep, "reason",
                        F.when(raw, "raw").otherwise("json").alias("restore_kind"),
                        data.alias("replay_bytes"),
                        F.when(key != "", key).alias("replay_key"))
@@ -62,16 +62,21 @@ def with_replays(dead: DataFrame, replays: DataFrame) -> DataFrame:
             .withColumn("replay_count", F.coalesce("replay_count", F.lit(0)).cast("bigint")))
 
 
+def corrected(dead: DataFrame, corrections: DataFrame | None) -> DataFrame:
+    """Dead letters with the payloads that ``corrections`` (coordinates,
+    ``payload``) put in place of the stored ones."""
+    if corrections is None:
+        return dead
+    return (dead.join(corrections.select(*COORDS, F.col("payload").alias("_fix")), COORDS, "left")
+            .withColumn("payload", F.coalesce("_fix", "payload")).drop("_fix"))
+
+
 def replay_plan(dead: DataFrame, replays: DataFrame, requested: DataFrame,
                 corrections: DataFrame | None = None) -> DataFrame:
     """Dry-run report per requested coordinate: found or not, reason, bytes
     to send, next replay count, ``executed = false``.  A correction payload
     (same coordinates, column ``payload``) overrides the stored one."""
-    current = with_replays(dead, replays)
-    if corrections is not None:
-        current = (current.join(corrections.select(*COORDS, F.col("payload").alias("_fix")), COORDS, "left")
-                   .withColumn("payload", F.coalesce("_fix", "payload")).drop("_fix"))
-    restored = restore(current).join(current.select(*COORDS, "replay_count"), COORDS)
+    restored = restore(corrected(with_replays(dead, replays), corrections), "replay_count")
     out = requested.select(*COORDS).join(restored, COORDS, "left")
     return out.select(
         *COORDS, F.col("reason").isNotNull().alias("found"), "reason",
@@ -80,10 +85,12 @@ def replay_plan(dead: DataFrame, replays: DataFrame, requested: DataFrame,
         F.lit(False).alias("executed"))
 
 
-def replay_deliveries(dead: DataFrame, requested: DataFrame, topic: str, at: Column) -> DataFrame:
+def replay_deliveries(dead: DataFrame, requested: DataFrame, topic: str, at: Column,
+                      corrections: DataFrame | None = None) -> DataFrame:
     """L6 (send step): the deliveries a replay appends to the raw log, with the
-    ``replay_error_id`` header; offsets are assigned by the log on append."""
-    r = restore(dead.join(requested.select(*COORDS), COORDS))
+    ``replay_error_id`` header; offsets are assigned by the log on append.
+    Corrections apply as in :func:`replay_plan`."""
+    r = restore(corrected(dead.join(requested.select(*COORDS), COORDS), corrections))
     return r.select(
         F.col("replay_key").cast("binary").alias("key"), F.col("replay_bytes").alias("value"),
         F.lit(topic).alias("topic"),

@@ -202,7 +202,7 @@ def region_summary(c):
     from fleetline.plans import queries as Q
     from pyspark.sql import functions as F
     asked = c.status.select("region").union(
-        c.status.limit(1).select(F.lit("ap-north").alias("region")))
+        c.status.sparkSession.range(1).select(F.lit("ap-north").alias("region")))
     return Q.region_summary(c.events, asked, c.params.now)
 
 
@@ -251,12 +251,13 @@ def dlq_restore(c):
 
 @register("dlq_replay_plan")
 def dlq_replay_plan(c):
-    """L5 for every dead letter of partition 0 plus one coordinate that does not exist."""
+    """L5 for every dead letter plus one coordinate that does not exist."""
     from fleetline.plans import deadletter as L
     from pyspark.sql import functions as F
-    asked = c.dead_letters.filter("source_partition = 0").select(*L.COORDS)
-    missing = c.dead_letters.limit(1).select(F.col("source_topic"), F.lit(0).alias("source_partition"),
-                                             F.lit(-1).cast("bigint").alias("source_offset"))
+    asked = c.dead_letters.select(*L.COORDS)
+    missing = asked.sparkSession.range(1).select(
+        F.lit("raw-telemetry").alias("source_topic"), F.lit(0).alias("source_partition"),
+        F.lit(-1).cast("bigint").alias("source_offset"))
     return L.replay_plan(c.dead_letters, c.replays, asked.unionByName(missing)).select(
         *L.COORDS, "found", "next_replay_count", "executed",
         F.split("reason", ":").getItem(0).alias("reason_class"))
