@@ -15,7 +15,7 @@ __all__ = ["ORACLE_SQL", "QUERIES"]
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return quality_rules.judge(docs).select(
+    return quality_rules.judge(docs, as_sql=True).select(
         "doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 

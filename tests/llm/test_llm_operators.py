@@ -116,6 +116,22 @@ def test_quality_fences_follow_each_source(spark):
     assert all(got[i] for i in [*range(300), *range(1000, 1300)]) and not got[2000]
 
 
+def test_quality_fence_of_lightly_repeating_source(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+
+    def text(n, repeated):
+        body = [word() for _ in range(n - repeated)]
+        return " ".join(body + body[:repeated])     # each word of the run stands twice
+
+    rows = [(i, text(1000, 3 if i % 3 == 0 else 0), "en", "s") for i in range(300)] + [(900, text(1000, 200), "en", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}
+    assert sorted(got[i]["repeat_words_pm"] for i in range(300))[74:226:151] == [0, 6]
+    assert got[900]["repeat_words_pm"] == 400 and not got[900]["base_failed"] and not got[900]["kept"]
+    assert all(got[i]["kept"] for i in range(300))
+
+
 def test_bad_hosts_are_blocked_and_priors_reach_unlabelled_ones(spark):
     pages = [(i, f"https://h{i % 5}.bad.example/x/{i}") for i in range(200)] + [
         (1000 + i, f"http://h{i % 5}.good.example/x/{i}") for i in range(200)] + [
