@@ -132,6 +132,24 @@ def test_quality_fence_of_lightly_repeating_source(spark):
     assert all(got[i]["kept"] for i in range(300))
 
 
+def test_quality_fences_come_from_the_sketch(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(4, 6)))
+
+    def text(symbols=0, copies=0):
+        w = [word() + "#" * (i < symbols) for i in range(100)]
+        lines = [" ".join(w[i:i + 10]) for i in range(0, 100, 10)]
+        return "\n".join(lines + lines[:1] * copies)
+
+    rows = [(i, text(), "en", "s") for i in range(300)] + [
+        (900, text(symbols=30), "en", "s"), (901, text(copies=2), "en", "s"), (902, text(symbols=1), "en", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}
+    assert got[900]["symbols_pm"] < 100 and not got[900]["kept"] and not got[900]["base_failed"]
+    assert got[901]["dup_lines_pm"] < 200 and not got[901]["kept"] and not got[901]["base_failed"]
+    assert got[902]["kept"] and sum(got[i]["kept"] for i in range(300)) >= 298
+
+
 def test_bad_hosts_are_blocked_and_priors_reach_unlabelled_ones(spark):
     pages = [(i, f"https://h{i % 5}.bad.example/x/{i}") for i in range(200)] + [
         (1000 + i, f"http://h{i % 5}.good.example/x/{i}") for i in range(200)] + [
