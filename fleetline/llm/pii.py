@@ -3,17 +3,22 @@
 Method.  Fixed expressions find the base entities of four kinds; these are the
 seeds.  The one and two words before an entity are its lexical patterns.
 Looser expressions propose candidates, strings shaped like an identifier that
-no base rule accepts, with the patterns before them.  Spark scores the graph
-of patterns and instances: a seed scores 1; a pattern scores the mean of its
-instances (``PRIOR`` empty ones added); another instance scores as much as its
-best pattern; ``ROUNDS`` times in turn.  Candidates after a pattern that
-scores ``CONFIDENCE`` or more and has met ``SUPPORT`` different seeds are taken
-as spans of the pattern's kind.  Base spans always stay.
-
-Scale.  Texts are read in one pass that yields a few short rows a document;
-edges are counted before any join, so a frequent pattern or instance is one
-row a task; the texts are never shuffled for the scoring.  The expressions run
-in linear time also on long runs of digits or letters.
+no base rule accepts, with the patterns before them (``CANDIDATES``).  Spark
+scores the graph of patterns and instances.  A pattern scores the mean over all
+its occurrences in the corpus (``PRIOR`` empty ones added): one that a seed
+follows counts 1, one that no identifier follows counts 0, so words of running
+prose score near 0.  One that a candidate follows counts the best score among
+the other patterns of that instance; patterns with the same last word, which
+stand at the same place, do not vouch for each other.  ``ROUNDS`` times in
+turn.  Candidates after a pattern that scores ``CONFIDENCE`` or more and has
+met ``SUPPORT`` different seeds are taken as spans of the pattern's kind.  Base
+spans always stay.
+
+Scale.  Texts are read in one pass that yields a few short rows a document,
+and in a second one that counts how often the patterns with enough seeds occur
+outside identifiers; edges are counted before any join, so a frequent pattern
+or instance is one row a task; the texts are never shuffled for the scoring.
+The expressions run in linear time also on long runs of digits or letters.
 
 Cases.  Null text: empty, no span.  Overlapping spans of different kinds are
 all listed; redaction merges them.  Repeated rows are each reported; an
@@ -25,13 +30,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetline.llm.common import attach, materialize, packed, short_batches, unpacked
+from fleetline.llm.common import BROADCAST_ROWS, attach, materialize, packed, short_batches, unpacked
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -125,19 +131,71 @@ def scan_batch(texts: pd.Series) -> pd.DataFrame:
         "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "seen"])
 
 
-def pattern_scores(seen: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, pattern, score, seeds) from rows (kind, seed, instance, pattern)."""
+def outside(text: str, spans) -> list[str]:
+    """Lower-case words of a text without the given spans."""
+    out, done = [], 0
+    for a, b in sorted(spans):
+        if a >= done:
+            out.append(text[done:a])
+        done = max(done, b)
+    return WORD.findall(" ".join([*out, text[done:]]).lower())
+
+
+def occurrences(rows: DataFrame, wanted: DataFrame, at_most: int = BROADCAST_ROWS) -> DataFrame:
+    """(pattern, n) how often the patterns of ``wanted`` stand in the texts
+    outside identifiers; other patterns may be listed too.  Up to ``at_most``
+    patterns go to the tasks; of more, all words and pairs are counted."""
+    some = [r["pattern"] for r in wanted.limit(at_most + 1).collect()]
+    known = frozenset(some) if len(some) <= at_most else None
+    pairs = known is None or any(" " in p for p in known)
+    seconds = None if known is None else frozenset(p.split(" ")[1] for p in known if " " in p)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found: Counter[str] = Counter()
+            for text, seen in zip(batch["in_text"], batch["spans"]):
+                words = outside(text, [(s["start"], s["end"]) for s in seen]) if isinstance(text, str) else []
+                found.update(words if known is None else filter(known.__contains__, words))
+                if pairs:
+                    both = (f"{a} {b}" for a, b in zip(words, words[1:]) if seconds is None or b in seconds)
+                    found.update(both if known is None else filter(known.__contains__, both))
+            if found:
+                yield pd.DataFrame({"pattern": pd.Series(list(found), dtype=object), "n": list(found.values())})
+
+    spans = F.transform("seen", lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end")))
+    return rows.select("in_text", spans.alias("spans")).mapInPandas(count, "pattern string, n long").groupBy(
+        "pattern").agg(F.sum("n").alias("n"))
+
+
+def pattern_scores(rows: DataFrame, seen: DataFrame, support: int = SUPPORT, rounds: int = ROUNDS) -> DataFrame:
+    """(kind, pattern, score, seeds) of the patterns with ``support`` seeds,
+    from rows (kind, seed, instance, pattern)."""
     edges = materialize(seen.groupBy("kind", "pattern", "instance").agg(
-        F.max("seed").alias("seed")), "pii-graph")
-    best = edges.select("kind", "instance", F.col("seed").cast("double").alias("s")).groupBy(
-        "kind", "instance").agg(F.max("s").alias("s"))
-    for k in range(rounds):
-        scored = edges.join(best, ["kind", "instance"]).groupBy("kind", "pattern").agg(
-            (F.sum("s") / (F.count(F.lit(1)) + PRIOR)).alias("score"),
-            F.sum(F.col("seed").cast("long")).alias("seeds"))
-        scored = materialize(scored, "pii-patterns")
-        best = edges.join(scored, ["kind", "pattern"]).groupBy("kind", "instance").agg(
-            F.max(F.when(F.col("seed"), 1.0).otherwise(F.col("score"))).alias("s"))
+        F.max("seed").alias("seed"), F.count(F.lit(1)).alias("times")), "pii-graph")
+    met = materialize(edges.groupBy("kind", "pattern").agg(
+        F.sum(F.col("seed").cast("long")).alias("seeds"), F.sum("times").alias("followed"))
+        .filter(F.col("seeds") >= support), "pii-met")
+    total = occurrences(rows, met.select("pattern").distinct())
+    met = materialize(met.join(total, "pattern", "left").withColumn(
+        "n", F.greatest(F.coalesce("n", F.lit(0)), "followed")).drop("followed"), "pii-totals")
+    edges = materialize(attach(edges, met, ["kind", "pattern"], F.xxhash64("instance"), "inner").withColumn(
+        "word", F.substring_index("pattern", " ", -1)), "pii-edges")
+    vouched = edges.withColumn("s", F.when(F.col("seed"), 1.0).otherwise(0.0))
+    for _ in range(rounds):
+        scored = materialize(vouched.groupBy("kind", "pattern").agg(
+            (F.sum(F.col("s") * F.col("times")) / (F.max("n") + PRIOR)).alias("score"),
+            F.max("seeds").alias("seeds")), "pii-patterns")
+        # The best pattern of each instance, and the best one with another last word.
+        words = (edges.filter("not seed").join(scored.select("kind", "pattern", "score"), ["kind", "pattern"])
+                 .groupBy("kind", "instance", "word").agg(F.max("score").alias("score")))
+        words = materialize(words, "pii-words")
+        top = words.groupBy("kind", "instance").agg(F.max(F.struct("score", "word")).alias("top"))
+        best = (words.join(top, ["kind", "instance"]).groupBy("kind", "instance").agg(
+            F.first("top").alias("top"),
+            F.max(F.when(F.col("word") != F.col("top.word"), F.col("score"))).alias("next")))
+        vouched = edges.join(best, ["kind", "instance"], "left").withColumn("s", F.when(F.col("seed"), 1.0).otherwise(
+            F.coalesce(F.when(F.col("word") != F.col("top.word"), F.col("top.score")).otherwise(F.col("next")),
+                       F.lit(0.0))))
     return scored
 
 
@@ -149,8 +207,8 @@ def find(docs: DataFrame, confidence: float = CONFIDENCE, support: int = SUPPORT
                        .withColumn("_rid", F.monotonically_increasing_id()), "pii")
     seen = (rows.select("_rid", F.explode("seen").alias("e")).select("_rid", "e.*")
             .withColumn("pattern", F.explode("patterns")).drop("patterns"))
-    trusted = pattern_scores(seen.select("kind", "seed", "instance", "pattern")).filter(
-        (F.col("score") >= confidence) & (F.col("seeds") >= support)).select("kind", "pattern")
+    trusted = pattern_scores(rows, seen.select("kind", "seed", "instance", "pattern"), support).filter(
+        F.col("score") >= confidence).select("kind", "pattern")
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
     added = (seen.filter("not seed").join(trusted, ["kind", "pattern"])
              .select("_rid", F.struct("start", rank.alias("rank"), "end").alias("span")).distinct()

@@ -323,6 +323,26 @@ def test_pii_patterns_discover_unseen_identifiers(spark):
     assert masked[100] == "hello, reach me at mail: [EMAIL] today" == masked[3] and masked[101] == rows[21][1]
 
 
+def test_pii_function_words_of_prose_are_not_trusted(spark):
+    rows = [(i, f"they send a user{i}@host{i}.example often") for i in range(4)]
+    rows += [(10 + i, "a dog and a cat and a bird saw a tree") for i in range(5)]
+    rows += [(100, "hawh reing a look at thedly. Or not"), (101, "once a word at home. Then")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.find(docs).select(
+        "doc_id", pii.spans_text(F.col("all_spans")).alias("spans")).collect()}
+    assert all(got[i] for i in range(4)) and not any(got[i] for i in (*range(10, 15), 100, 101))
+
+
+def test_pii_occurrences_of_few_and_of_many_patterns_agree(spark):
+    docs = spark.createDataFrame([(1, "mail me, mail me: a@b.example mail\u00e9 it")], "doc_id long, text string")
+    rows = docs.select(F.col("text").alias("in_text")).withColumn(
+        "seen", F.pandas_udf(pii.scan_batch, pii.FOUND)("in_text")["seen"])
+    wanted = spark.createDataFrame([("mail",), ("me mail",)], "pattern string")
+    for at_most in (10, 1):
+        got = {r["pattern"]: r["n"] for r in pii.occurrences(rows, wanted, at_most).collect()}
+        assert (got["mail"], got["me mail"]) == (2, 1) and "example" not in got
+
+
 @pytest.mark.parametrize("chunk_bytes", [20_000, substring.CHUNK_BYTES])
 def test_substring_dedup(documents, texts, chunk_bytes):
     first, want = {}, {}
