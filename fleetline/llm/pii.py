@@ -3,7 +3,7 @@
 Method.  Fixed expressions find the base entities of four kinds; these are the
 seeds.  The one and two words before an entity are its lexical patterns.
 Looser expressions propose candidates, strings shaped like an identifier that
-no base rule accepts, with the patterns before them (``CANDIDATES``).  Spark
+no base rule accepts, with the patterns before them (``shapes``).  Spark
 scores the graph of patterns and instances.  A pattern scores the mean over all
 its occurrences in the corpus (``PRIOR`` empty ones added): one that a seed
 follows counts 1, one that no identifier follows counts 0, so words of running
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -52,14 +53,15 @@ IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
-#: Shapes of candidates by kind; linear, each starts at a fixed character class.
-CANDIDATES = {
-    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:\(at\)|\[at\]| at ) ?"
-                        r"[A-Za-z0-9-]{1,64}+(?: ?(?:\(dot\)|\[dot\]|\.| dot ) ?[A-Za-z0-9-]{1,64}+)+"),
-    "ip": re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}"),
-    "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[ .-][0-9]{4}){3}(?![0-9])"),
-    "phone": re.compile(r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
-}
+#: Parts of candidates; linear, each starts at a fixed character class.
+AT = re.compile(r" ?[(\[{]at[)\]}] ?| at | ?@ ?", re.A | re.I)
+HOST = re.compile(r"[A-Za-z0-9-]{1,64}+(?:(?: ?[(\[{]dot[)\]}] ?| dot |\.)[A-Za-z0-9-]{1,64}+)*+", re.A | re.I)
+QUADS = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+){3}")
+HEX = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![0-9A-Za-z:])")
+NUMBER = re.compile(r"(?<![0-9A-Za-z])\+?\(?[0-9](?:[\x20().\-/]{0,2}[0-9])++")
+#: Digits of a number that may be of the kind.
+DIGIT_RANGES = {"card": (12, 19), "phone": (6, 17)}
+LOCAL_CHARS = 64
 WORD = re.compile(r"[^\W\d_]+")
 FOUND = ("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
          "base array<struct<start:int,rank:int,end:int>>, "
@@ -107,21 +109,56 @@ def patterns(text: str, start: int) -> list[str]:
     return [" ".join(words[k:]) for k in range(len(words))]
 
 
+def shapes(text: str) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of strings shaped like an identifier; a number may
+    be proposed for several kinds.
+
+    email: name, ``@`` or a bracketed ``at`` (any case, blanks around), host
+    with or without a dot; or `` at `` before a host with a spelt-out dot or
+    one without blanks.  ip: four numbers with dots, or three to eight hex
+    groups with colons, empty ones too.  card, phone: digits by
+    ``DIGIT_RANGES``, alone or with up to two of blank, dot, dash, slash,
+    brackets between.
+    """
+    done = 0
+    for m in AT.finditer(text) if "@" in text or "at" in text or "AT" in text or "At" in text else ():
+        start = m.start()
+        while start > max(done, m.start() - LOCAL_CHARS) and text[start - 1] in LOCAL:
+            start -= 1
+        host = HOST.match(text, m.end()) if start < m.start() else None
+        dotted = host and ("." in host[0] or "dot" in host[0].lower())
+        if host and (dotted or m[0].strip().lower() != "at"):
+            done = host.end()
+            yield "email", start, done
+    if DIGITS.search(text):
+        for m in QUADS.finditer(text):
+            yield "ip", *m.span()
+    if text.count(":") > 1:
+        for m in HEX.finditer(text):
+            if m[0].strip(":"):
+                yield "ip", *m.span()
+    if DIGITS.search(text):
+        for m in NUMBER.finditer(text):
+            n = sum(map(str.isdigit, m[0]))
+            for kind, (least, most) in DIGIT_RANGES.items():
+                if least <= n <= most:
+                    yield kind, *m.span()
+
+
 def scanned(text: str | None) -> tuple:
     text = text if isinstance(text, str) else ""
     base = base_spans(text)
     listed = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in base)
-    taken = [(a, b) for a, _, b in base]
     seen = [(KINDS[k], a, b, True, text[a:b].lower(), patterns(text, a)) for a, k, b in base]
-    if DIGITS.search(text) or "at" in text:
-        for kind, shape in CANDIDATES.items():
-            if kind == "email" and not ("(at)" in text or "[at]" in text or " at " in text):
-                continue
-            for m in shape.finditer(text):
-                a, b = m.span()
-                if not any(a < y and x < b for x, y in taken):
-                    taken.append((a, b))
-                    seen.append((kind, a, b, False, m[0].lower(), patterns(text, a)))
+    starts, ends = [a for a, _, _ in base], []
+    for _, _, b in base:
+        ends.append(max(b, ends[-1]) if ends else b)
+    last: dict[str, int] = {}
+    for kind, a, b in sorted(shapes(text)):
+        before = bisect_right(starts, b - 1)        # base spans that start before the end
+        if a >= last.get(kind, 0) and not (before and ends[before - 1] > a):
+            last[kind] = b
+            seen.append((kind, a, b, False, text[a:b].lower(), patterns(text, a)))
     counts = [sum(k == kind for _, k, _ in base) for kind in range(4)]
     return (*counts, hashlib.sha256(listed.encode()).hexdigest(), base, seen)
 

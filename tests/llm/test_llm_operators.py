@@ -343,6 +343,33 @@ def test_pii_occurrences_of_few_and_of_many_patterns_agree(spark):
         assert (got["mail"], got["me mail"]) == (2, 1) and "example" not in got
 
 
+def test_pii_shapes_after_trusted_patterns(spark):
+    def card(i):
+        body = f"411111111111{i:03d}"
+        return next(body + d for d in "0123456789" if pii.luhn(body + d))
+
+    seeds = {"mail": lambda i: f"user{i}@host{i}.example", "address": lambda i: f"10.0.0.{i}",
+             "card": card, "phone": lambda i: f"+49 30 1234{i:04d}"}
+    odd = {"mail": ["JANE (AT) corp.example", "jane@host", "jane at corp dot example", "Jane@[host"],
+           "address": ["300.1.2.3", "fe80::1", "fe:ed:be:ef:fa:ce:ab:cd"],
+           "card": ["4111111111111112", "3782 822463 10006"],
+           "phone": ["0301234567", "0044 20 7946 0958", "(415) 555-2671"]}
+    names = {"mail": "email", "address": "ip"}
+    rows, want = [], {}
+    for word, seed in seeds.items():
+        rows += [(len(rows) + i, f"our {word}: {seed(i)} today") for i in range(20)]
+    for word, texts in odd.items():
+        for x in texts:
+            want[len(rows)] = "" if "[host" in x else f"{names.get(word, word)}:{len(word) + 6}:{len(word) + 6 + len(x)}"
+            rows.append((len(rows), f"our {word}: {x} today"))
+    got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).select(
+        "doc_id", pii.spans_text(F.col("all_spans")).alias("spans")).collect()}
+    assert {i: got[i] for i in want} == want
+    assert [x for x in pii.shapes("1" * 300_000 + "a" * 300_000 + ":" * 300_000 + " at " * 9)] == []
+    mixed = pii.scanned("1.2.3.400 then fe80::1 and 5.6.7.800")[-1]
+    assert [x[4] for x in mixed if x[0] == "ip"] == ["1.2.3.400", "fe80::1", "5.6.7.800"]
+
+
 @pytest.mark.parametrize("chunk_bytes", [20_000, substring.CHUNK_BYTES])
 def test_substring_dedup(documents, texts, chunk_bytes):
     first, want = {}, {}
