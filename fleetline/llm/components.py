@@ -46,9 +46,9 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def smallest_ids(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, component_id): for the linked nodes, the smallest ``first`` of
-    their component.  ``nodes``: (node, first)."""
+    """(node, root, component_id): for the linked nodes, the smallest node and
+    the smallest ``first`` of their component.  ``nodes``: (node, first)."""
     members = materialize(components(links), "members")
     named = members.join(nodes.select("node", "first"), "node")
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return members.join(lowest, "root").select("node", "component_id")
+    return members.join(lowest, "root").select("node", "root", "component_id")

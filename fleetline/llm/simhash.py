@@ -181,7 +181,8 @@ def fingerprint_links(nodes: DataFrame, radius: int, shard: int = SHARD) -> Data
 
 
 def _linked(docs: DataFrame, shingle_words: int, radius: int) -> tuple[DataFrame, DataFrame]:
-    """The documents with ``_node`` and ``_rid``, and (node, first, component_id)."""
+    """The documents with ``_node`` and ``_rid``, and (node, component_id, root): the
+    smallest node of its component."""
     short_batches(docs.sparkSession)
     rows = materialize(packed(docs).withColumn("_node", fingerprint_udf(shingle_words)(F.col("in_text")))
                        .withColumn("_rid", F.monotonically_increasing_id()), "fingerprints")
@@ -190,7 +191,7 @@ def _linked(docs: DataFrame, shingle_words: int, radius: int) -> tuple[DataFrame
     named = smallest_ids(nodes, fingerprint_links(nodes, radius))
     nodes = nodes.join(named, "node", "left").select(
         "node", F.coalesce("component_id", "first").alias("component_id"),
-        F.col("component_id").isNotNull().alias("linked"))
+        F.coalesce("root", "node").alias("root"))
     return rows, nodes
 
 
@@ -205,13 +206,11 @@ def link_documents(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """One row of each component: that with the smallest doc_id (of rows that
-    repeat it, one)."""
+    repeat it, one; without any id, one).  Components are told apart by their
+    fingerprints, so unrelated texts under one doc_id both stay."""
     rows, nodes = _linked(docs, shingle_words, radius)
     first = F.struct(F.col("in_doc_id").isNull().alias("none"), F.col("in_doc_id").alias("id"), "_rid")
     by_node = rows.groupBy("_node").agg(F.min(first).alias("best"))
-    group = F.when(F.col("component_id").isNotNull(), F.struct(
-        F.col("component_id").alias("id"), F.lit(None).cast("long").alias("node"))).otherwise(
-        F.struct(F.lit(None).cast("long").alias("id"), F.col("_node").alias("node")))
-    best = (by_node.join(nodes, F.col("_node") == F.col("node")).groupBy(group.alias("group"))
+    best = (by_node.join(nodes, F.col("_node") == F.col("node")).groupBy("root")
             .agg(F.min("best").alias("best")).select(F.col("best._rid").alias("_rid")))
     return rows.join(best, "_rid", "left_semi").select(*unpacked(docs.columns, []))

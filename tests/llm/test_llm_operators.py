@@ -261,6 +261,18 @@ def test_simhash_components(spark, documents, texts):
     assert sorted(kept) == sorted({groups.root(i) for i in prints})
 
 
+def test_near_copies_are_grouped_by_text_not_by_id(spark):
+    rng = random.Random(9)
+    text = lambda: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(300))
+    near = text()
+    close = next(t for t in (f"{near} {w}" for w in ("x", "y", "z", "w", "v")) if 0 < (
+        plain_fingerprint(t) ^ plain_fingerprint(near)).bit_count() <= 4)
+    rows = [(1, text()), (1, text()), (None, near), (None, close)]
+    for chosen, want in ((rows[:2], 2), (rows[2:4], 1), (rows[:4], 3)):
+        docs = spark.createDataFrame(chosen, "doc_id long, text string")
+        assert simhash.drop_near_copies(docs).count() == want
+
+
 @pytest.mark.parametrize("shard", [4, 4096])
 def test_split_shards_lose_no_link(spark, shard):
     rng, center = np.random.default_rng(5), np.uint64(0x0123456789ABCDEF)
