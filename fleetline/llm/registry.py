@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetline.llm import (embeddings, langid, mixing, packing, pii, quality_rules, simhash, substring,
+from fleetline.llm import (embeddings, langid, mixing, packing, pii, quality_rules, simhash, spelling, substring,
                            url_reputation, warc)
 from fleetline.llm.common import materialize, table
 from fleetline.llm.oracles import ORACLE_SQL
@@ -75,6 +75,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.drop_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_url_reputation, op3_best_fit_packing, op4_simhash_components, op5_contextual_pii,
-    op6_substring_dedup, op7_curriculum_mix, op8_warc_bundles, op9_embedding_links, op10_language_id)}
+    op6_substring_dedup, op7_curriculum_mix, op8_warc_bundles, op9_embedding_links, op10_language_id,
+    op11_spelling_variants)}
