@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetline.llm import (embeddings, langid, mixing, packing, pii, quality_rules, simhash, spelling, substring,
-                           url_reputation, warc)
+                           toxicity, url_reputation, warc, whitening)
 from fleetline.llm.common import materialize, table
 from fleetline.llm.oracles import ORACLE_SQL
 
@@ -79,7 +79,16 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_spellings(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_url_reputation, op3_best_fit_packing, op4_simhash_components, op5_contextual_pii,
     op6_substring_dedup, op7_curriculum_mix, op8_warc_bundles, op9_embedding_links, op10_language_id,
-    op11_spelling_variants)}
+    op11_spelling_variants, op12_toxicity, op13_embedding_whitening)}
