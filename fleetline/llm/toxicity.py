@@ -48,6 +48,7 @@ TOXIC, CLEAN, SAMPLE_CHARS = 2000, 4000, 4000
 ROUNDS, PASSES, BATCH, RATE = 5, 2, 256, 0.01
 ROUND_WINDOWS = 16_000
 KNOWN_IN = 5
+SURE = 1.0
 BLOCK_WINDOWS = 4096
 THRESHOLD = 0.7
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -208,7 +209,8 @@ def trained(texts: list[list[str]], toxic: np.ndarray, seed: int = 0) -> Scorer
     best, choice = np.inf, None
     for round_ in range(ROUNDS):
         top = worst(found, sample.text, len(texts))
-        chosen_bad = bad[found[bad] >= top[sample.text[bad]]]
+        sure = (round_ > 0) & (found[bad] > SURE)
+        chosen_bad = bad[(found[bad] >= top[sample.text[bad]]) | sure]
         chosen_bad = rng.permutation(chosen_bad)[:ROUND_WINDOWS // 2]
         hardest = good[np.argsort(-found[good], kind="stable")][:ROUND_WINDOWS // 4]
         chosen_good = np.concatenate([hardest, rng.permutation(good)[:ROUND_WINDOWS // 2]])
