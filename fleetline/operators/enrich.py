@@ -22,23 +22,24 @@ one partition; append times need not rise with offsets.
   :func:`fleetline.operators.sequence.running_sums`) minus the row itself
   minus the rows that arrived *later* but lie in the window.  A row can only
   be such a later row if it is late (its timestamp is not above the newest
-  earlier arrival), so the correction joins late rows only, on 30-second
-  sub-buckets.  Sums are decimals, so nothing is lost by taking back.  Work is
-  O(n + L), L = (late row, overtaken row within 5 minutes) pairs; L = 0 for an
-  in-order stream.
+  earlier arrival), so the correction sums late rows only, by merge levels over
+  (arrival, time) (:func:`fleetline.operators.sequence.later_in_band`).  Sums
+  are decimals, so nothing is lost by taking back.  Work is O(n + l log l), l =
+  rows in the 5-minute buckets that late rows reach; l = 0 for an in-order
+  stream.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetline.constants import (
     OUTLIER_HIGH, OUTLIER_LOW, TRAILING_WINDOW_SECONDS, VOLTAGE_DROP_THRESHOLD,
 )
-from fleetline.operators.sequence import running_max_before, running_sums
+from fleetline.operators.sequence import later_in_band, running_max_before, running_sums
 
 WINDOW_US = TRAILING_WINDOW_SECONDS * 1000000
 SUB_BUCKET_US = 30 * 1000000
@@ -71,16 +72,18 @@ def lag_ms(processed_at, ts):
     return F.expr(f"(unix_micros({processed_at}) - unix_micros({ts})) div 1000")
 
 
+def _offset_chunk(order: Sequence[str]) -> Column:
+    """Chunks along the arrival order: what comes before the offset, then its range."""
+    offset = list(order).index("source_offset")
+    return F.struct(*order[:offset], F.expr(f"source_offset div {OFFSET_CHUNK}").alias("offset_chunk"))
+
+
 def previous_reading(stored: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
     """Adds ``_prev`` = struct(ts_us, arrival..., voltage) of the newest earlier arrival."""
     with_us = stored.withColumn("_ts_us", F.unix_micros("timestamp"))
     value = F.struct(F.col("_ts_us").alias("ts_us"), *[F.col(c) for c in order],
                      F.col("voltage").alias("voltage"))
-    offset = list(order).index("source_offset")
-    return running_max_before(
-        with_us, ["device_id"], order,
-        chunk=F.struct(*order[:offset], F.expr(f"source_offset div {OFFSET_CHUNK}").alias("offset_chunk")),
-        value=value, out="_prev")
+    return running_max_before(with_us, ["device_id"], order, chunk=_offset_chunk(order), value=value, out="_prev")
 
 
 def _window_totals(stored: DataFrame) -> DataFrame:
@@ -102,22 +105,11 @@ def _later_arrivals_in_window(stored: DataFrame, rows: DataFrame,
 
     ``rows`` carries ``_prev`` (to find late rows); candidates come from ``stored``.
     """
-    late = rows.filter(F.col("_prev").isNotNull() & (F.col("_ts_us") <= F.col("_prev.ts_us"))).select(
-        "device_id",
-        F.col("_ts_us").alias("_p_ts"),
-        F.struct(*order).alias("_p_arr"),
-        F.col("temperature").cast(EXACT).alias("_p_temp"),
-        F.explode(F.sequence(F.expr(f"_ts_us div {SUB_BUCKET_US}"),
-                             F.expr(f"(_ts_us + {WINDOW_US}) div {SUB_BUCKET_US}"))).alias("_s"),
-    )
-    cand = stored.select("device_id", "event_id", F.unix_micros("timestamp").alias("_c_ts"),
-                         F.struct(*order).alias("_c_arr")) \
-        .withColumn("_s", F.expr(f"_c_ts div {SUB_BUCKET_US}"))
-    pairs = cand.join(late, ["device_id", "_s"]).where(
-        (F.col("_p_arr") > F.col("_c_arr"))
-        & (F.col("_p_ts") >= F.col("_c_ts") - WINDOW_US) & (F.col("_p_ts") <= F.col("_c_ts")))
-    return pairs.groupBy("event_id").agg(F.sum("_p_temp").alias("_b_sum"),
-                                         F.count(F.lit(1)).alias("_b_n"))
+    late = rows.filter(F.col("_prev").isNotNull() & (F.col("_ts_us") <= F.col("_prev.ts_us")))
+    return later_in_band(
+        late, stored.withColumn("_ts_us", F.unix_micros("timestamp")), ["device_id"], "event_id", order,
+        _offset_chunk(order), "_ts_us", WINDOW_US, SUB_BUCKET_US,
+        {"_b_sum": F.col("temperature").cast(EXACT), "_b_n": F.lit(1)})
 
 
 def enrich(stored: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:

@@ -72,8 +72,8 @@ def running_sums(df: DataFrame, keys: Sequence[str], position: str, chunk_width:
     ``values`` maps output columns to summed columns; ``position`` is an
     integer column, rows of equal position see each other.  Equal to
     ``sum(v) OVER (PARTITION BY keys ORDER BY position RANGE UNBOUNDED
-    PRECEDING)``, but a hot key is spread over its position chunks.  The frame
-    only grows, so the work is linear.  Give decimals or integers: both sides
+    PRECEDING)``, nulls as 0, but a hot key is spread over its position chunks.
+    The frame only grows, so the work is linear.  Give decimals or integers: both sides
     of the split are then exact.
     """
     keys = list(keys)
@@ -86,7 +86,8 @@ def running_sums(df: DataFrame, keys: Sequence[str], position: str, chunk_width:
         Window.unboundedPreceding, Window.currentRow)
     local = staged.select("*", *[F.sum(f"_v_{n}").over(upto).alias(f"_l_{n}") for n in values])
     return (local.join(carried, [*keys, "_chunk"])
-            .withColumns({n: F.coalesce(F.col(f"_c_{n}"), F.lit(0)) + F.col(f"_l_{n}") for n in values})
+            .withColumns({n: F.coalesce(F.col(f"_c_{n}"), F.lit(0)) + F.coalesce(F.col(f"_l_{n}"), F.lit(0))
+                          for n in values})
             .drop("_chunk", *[f"_{p}_{n}" for p in "vlc" for n in values]))
 
 
@@ -106,3 +107,55 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     final = Window.partitionBy(*keys).orderBy(*order)
     return (reduced.withColumn(rank_col, F.row_number().over(final))
             .filter(F.col(rank_col) <= k))
+
+
+def later_in_band(points: DataFrame, queries: DataFrame, keys: Sequence[str], id_col: str, order: Sequence[str],
+                  chunk: Column, position: str, width: int, step: int, values: dict[str, Column]) -> DataFrame:
+    """Per query: sums of ``values`` over the points that come *later* in
+    ``order`` and whose ``position`` lies in ``[q - width, q]``; queries
+    without such a point are left out.
+
+    Two-dimensional dominance sums by merge levels.  Rows are grouped by
+    (key, bucket of ``width`` positions); a point joins its own and the next
+    bucket's group, so a band never leaves a group.  Members of a group are
+    ranked by ``order``.  At level l the group is cut into blocks of 2^l ranks:
+    two members lie in neighbouring blocks of one pair at exactly one level,
+    the later one on the right.  So on every level the points of the right
+    block are summed along ``position`` up to each query of the left block
+    (:func:`running_sums`), once up to ``q`` and once up to just before
+    ``q - width``.  n members cost n log n rows however disordered they are,
+    where a join of later with earlier rows costs up to n^2; a crowded group
+    is dealt by level, pair and ``step`` positions.
+
+    ``points`` and ``queries`` have keys, id, order and position columns (and
+    what ``values`` reads, for points); values must be decimals or integers.
+    """
+    keys, order, group = list(keys), list(order), [*keys, "_bucket"]
+    bucket = F.floor(F.col(position) / F.lit(width)).cast("bigint")
+    base = [*keys, id_col, *order, F.col(position).alias("_at")]
+    pts = points.select(*base, *[c.alias(f"_p_{n}") for n, c in values.items()], F.lit(True).alias("_point"),
+                        F.explode(F.array(bucket, bucket + 1)).alias("_bucket"))
+    busy = pts.groupBy(*group).agg(F.min("_at").alias("_from"), F.max(F.struct(*order)).alias("_last"))
+    asks = queries.select(*base, bucket.alias("_bucket")).join(busy, group) \
+        .filter((F.col("_at") >= F.col("_from")) & (F.struct(*order) < F.col("_last"))).drop("_from", "_last") \
+        .withColumn("_query", F.lit(True))
+    # A row that is point and query in a group is one member of it.
+    members = asks.unionByName(pts, allowMissingColumns=True).groupBy(*group, id_col, *order, "_at").agg(
+        F.max("_point").alias("_point"), F.max("_query").alias("_query"),
+        *[F.max(f"_p_{n}").alias(f"_p_{n}") for n in values])
+    ranked = dense_sequence(members, group, order, chunk, "_rank")
+    sizes = members.groupBy(*group).agg(F.ceil(F.log2(F.count(F.lit(1)))).cast("int").alias("_levels"))
+    leveled = ranked.join(sizes, group).filter("_levels > 0") \
+        .withColumn("_level", F.explode(F.sequence(F.lit(0), F.col("_levels") - 1)))
+    right = F.expr("getbit(_rank, _level)") == 1
+    entries = F.when(right & F.col("_point"), F.array(F.struct(F.lit(0).alias("_sign"), F.col("_at").alias("_where")))) \
+        .when(~right & F.col("_query"), F.array(
+            F.struct(F.lit(1).alias("_sign"), F.col("_at").alias("_where")),
+            F.struct(F.lit(-1).alias("_sign"), (F.col("_at") - width - 1).alias("_where"))))
+    rows = leveled.withColumn("_pair", F.expr("shiftright(_rank, _level + 1)")) \
+        .withColumn("_entry", F.explode(entries)).select(
+            *group, "_level", "_pair", id_col, "_entry._sign", "_entry._where",
+            *[F.when(F.col("_entry._sign") == 0, F.col(f"_p_{n}")).alias(f"_p_{n}") for n in values])
+    sums = running_sums(rows, [*group, "_level", "_pair"], "_where", step, {f"_s_{n}": F.col(f"_p_{n}") for n in values})
+    return sums.filter("_sign <> 0").groupBy(id_col).agg(
+        *[F.sum(F.when(F.col("_sign") == 1, F.col(f"_s_{n}")).otherwise(-F.col(f"_s_{n}"))).alias(n) for n in values])
