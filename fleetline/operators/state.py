@@ -67,13 +67,14 @@ def recent_events(valid: DataFrame, stored: DataFrame, now: Column | None = None
     return ranked
 
 
-def ledger_rows(inserted: DataFrame, topic: str = VALIDATED_TOPIC) -> DataFrame:
-    """Delivery-ledger rows written with the inserted events (one per id)."""
+def ledger_rows(inserted: DataFrame, *keep: str, topic: str = VALIDATED_TOPIC) -> DataFrame:
+    """Delivery-ledger rows written with the inserted events (one per id).
+    ``keep``: further columns to carry."""
     payload = F.to_json(F.struct(*[F.col(c) for c in VALIDATED_FIELDS]),
                         {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
     return inserted.select(
         "event_id", F.lit(topic).alias("topic"), F.col("device_id").alias("message_key"),
-        payload.alias("payload"), F.col("processed_at").alias("created_at"))
+        payload.alias("payload"), F.col("processed_at").alias("created_at"), *keep)
 
 
 def ledger_with_acks(ledger: DataFrame, acks: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 A run is one batch of the streaming job's :func:`process_batch`: it stores the
 events that no earlier run stored, enriched against what they stored, and
-appends its rows under its own run number.  Tables are Parquet under ``root``
-(a shared folder on a cluster); ``events`` lies by ``event_date`` and is sorted
-by (device, timestamp) inside each file, so date, device and time predicates
-prune.
+publishes its rows as one version under its own run number.  Tables are
+Parquet under ``root`` (a shared folder on a cluster); ``events`` lies by
+``event_date`` and is sorted by (device, timestamp) inside each file, so date,
+device and time predicates prune.
 """
 
 from __future__ import annotations
@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 
 from fleetline.session import prepare_session
 from fleetline.streaming.job import (
-    DELIVERY_SCHEMA, TableStore, note_run, next_run, process_batch, read_or_none,
+    DELIVERY_SCHEMA, TableStore, note_run, next_run, process_batch,
 )
 
 
 def _open_run(spark: SparkSession, store: TableStore, log_path: str) -> int:
     """The number of an unfinished run over the same log, else a new one."""
-    runs = read_or_none(spark, store.path("runs"))
+    runs = store.read(spark, "runs")
     if runs is not None:
         done = runs.filter("state = 'done'").select("run")
         left = runs.filter((F.col("state") == "begun") & (F.col("source") == log_path)) \

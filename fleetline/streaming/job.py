@@ -4,17 +4,22 @@
 path, else a folder of delivery files) -> ``foreachBatch`` -> the same
 operators as the batch job.  Per micro-batch:
 
-1. route the batch (kept: both branches are written);
-2. history = the stored events of other runs and of this run's *earlier*
-   batches (a retried batch sees neither itself nor anything after it);
-3. insert-if-absent: first arrivals of the batch anti-joined with history;
-4. enrich the new events against history, reading only what they can see:
-   for each device of the batch, the stored rows in its 5-minute band and
-   its newest stored reading (exact, see :func:`enrich_batch`);
-5. write dead letters, ledger rows, device states and events into their
-   (run, batch id) partition with dynamic partition overwrite: a retried batch
-   rewrites exactly what it wrote before, and no other rows.  The run number
-   belongs to the checkpoint folder (:func:`stream_run`).
+1. pin the newest version of the store; a batch that it lists is done already
+   (its checkpoint commit was lost), so nothing happens;
+2. route the batch (kept: both branches are written);
+3. insert-if-absent: first arrivals of the batch whose ids the id index does
+   not hold; only index files that may hold one are opened;
+4. enrich the new events against what they can see of the history: the stored
+   rows of their devices in their dates' 5-minute band and their devices'
+   newest reading, a table of one row per device (exact, see
+   :func:`enrich_batch`);
+5. write dead letters, ledger rows, ids, device states and events to new
+   folders, check the counts, and publish them together as the next version.
+
+So no step reads the whole history, a batch that fails before the last step
+leaves every table as it was, and a repeated one begins again from there.
+:mod:`fleetline.tables.manifest` says what a version is.  The run number
+belongs to the checkpoint folder (:func:`stream_run`).
 
 Device states and dead letters are folded when read (:meth:`TableStore.status`,
 :meth:`TableStore.dead_letters`).  One run writes to a store at a time.
@@ -28,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +43,9 @@ from fleetline.operators import enrich as E
 from fleetline.operators import route as R
 from fleetline.operators import state as S
 from fleetline.plans.pipeline import Materialize, dead_letter_rows, lazy
+from fleetline.tables.bucketed import Bucketed
+from fleetline.tables.ids import IdIndex
+from fleetline.tables.manifest import Change, Files, Manifest, Version
 
 DELIVERY_SCHEMA = T.StructType([
     T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType()),
@@ -50,45 +59,97 @@ STORED_COLUMNS = ["event_id", "device_id", "timestamp", "received_at", "processe
                   "arrival_ts"]
 
 
+READING_ORDER = ["timestamp", *E.ARRIVAL_ORDER]
+READING = [*READING_ORDER, *[c for c in STORED_COLUMNS if c not in (*READING_ORDER, "device_id")]]
+RUNS_SCHEMA = "run bigint, source string, state string"
+
+
+def newest_readings(rows: DataFrame) -> DataFrame:
+    """(device_id, _reading): each device's newest stored row, by event time
+    and then arrival; of ``rows`` with stored columns or already folded."""
+    if "_reading" not in rows.columns:
+        rows = rows.select("device_id", F.struct(*READING).alias("_reading"))
+    return rows.groupBy("device_id").agg(F.max("_reading").alias("_reading"))
+
+
+def newest_states(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("device_id").agg(F.max("_winner").alias("_winner"))
+
+
 @dataclass(frozen=True)
 class TableStore:
-    """Folders of the stored tables (Parquet), all under one shared root."""
+    """The stored tables (Parquet folders and versions) under one shared root.
+
+    ``id_buckets`` and ``device_buckets`` count for a store's first write."""
     root: str
+    id_buckets: int = 16
+    device_buckets: int = 16
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame | None:
-        try:
-            return spark.read.parquet(self.path(name))
-        except Exception as exc:  # noqa: BLE001 - missing table on the first batch
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-                return None
-            raise
-
-    def write_batch(self, df: DataFrame, name: str, run: int, batch_id: int) -> None:
-        """Write the rows of one batch of one run; a repetition replaces them.
-        Events also lie by date, and by device and time inside a file; a hot
-        device's day is dealt by hour."""
-        df = df.withColumn("run", F.lit(run).cast("bigint")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        parts = ["run", "batch_id"]
+    def manifest(self, spark: SparkSession) -> Manifest:
+        return Manifest(spark, self.root)
+
+    def ids(self, manifest: Manifest) -> IdIndex:
+        return IdIndex(manifest, self.id_buckets)
+
+    def readings(self, manifest: Manifest) -> Bucketed:
+        """Each device's newest reading, from the events that are stored."""
+        return Bucketed(manifest, "device_newest", "device_id", newest_readings, self.device_buckets)
+
+    def states(self, manifest: Manifest) -> Bucketed:
+        """Each device's last written state (retention does not touch it)."""
+        return Bucketed(manifest, "device_status", "device_id", newest_states, self.device_buckets)
+
+    def read(self, spark: SparkSession, name: str, version: int | None = None) -> DataFrame | None:
+        """A table in the newest (or a given) version; None if never written."""
+        if name == "runs":
+            there = Files(spark, self.root).exists(name)
+            return spark.read.schema(RUNS_SCHEMA).parquet(self.path(name)) if there else None
+        manifest = self.manifest(spark)
+        return manifest.read(manifest.version(version), name)
+
+    def write_batch(self, df: DataFrame, name: str, run: int, batch_id: int) -> dict:
+        """Write the rows of a batch to a new folder; its entry, to be
+        published.  Dated tables lie by date, events also by device and time
+        inside a file; a hot device's day is dealt by hour."""
+        by = ["event_date"] if "event_date" in df.columns else []
         if name == "events":
-            parts = ["event_date", *parts]
             df = df.repartition("event_date", "device_id", F.date_trunc("hour", "timestamp")) \
-                .sortWithinPartitions(*parts, "device_id", "timestamp")
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(self.path(name)))
-
-    def earlier(self, spark: SparkSession, name: str, run: int, batch_id: int) -> DataFrame | None:
-        """Rows of other runs and of this run's earlier batches: what a
-        repeated batch has written itself, or later, is not history."""
-        df = self.read(spark, name)
-        return None if df is None else df.filter((F.col("run") != run) | (F.col("batch_id") < batch_id))
+                .sortWithinPartitions(*by, "device_id", "timestamp")
+        return self.manifest(df.sparkSession).write(df, name, run, batch_id, by)
+
+    def band(self, manifest: Manifest, version: Version, new: DataFrame) -> DataFrame | None:
+        """Stored rows of the devices of ``new`` within 5 minutes before any of
+        their new rows.  Only the folders of the dates concerned are opened."""
+        stored = manifest.read(version, "events")
+        if stored is None:
+            return None
+        at = F.unix_micros("timestamp")
+        dates = new.select(F.explode(F.array(F.to_date("timestamp"), F.to_date(F.timestamp_micros(at - E.WINDOW_US))))
+                           .alias("event_date")).distinct()
+        span = new.groupBy("device_id").agg((F.min(at) - E.WINDOW_US).alias("_from_us"), F.max(at).alias("_to_us"))
+        # The dates of a batch: a short list, so that folders are pruned.
+        of_dates = stored.filter(F.col("event_date").isin([r["event_date"] for r in dates.collect()]))
+        return of_dates.join(span, "device_id").filter((at >= F.col("_from_us")) & (at <= F.col("_to_us"))) \
+            .select(*new.columns)
+
+    def newest(self, manifest: Manifest, version: Version, new: DataFrame) -> DataFrame | None:
+        """The newest stored reading of every device of ``new``; only the
+        buckets of these devices are opened."""
+        table = self.readings(manifest)
+        rows = table.read(version, table.used(new, version))
+        if rows is None:
+            return None
+        mine = rows.join(new.select("device_id").distinct(), "device_id", "left_semi")
+        return newest_readings(mine.select("device_id", "_reading")).select(
+            "device_id", "_reading.*").select(*new.columns)
 
     def status(self, spark: SparkSession, rows: DataFrame | None = None) -> DataFrame | None:
         """The current device state: every batch writes the devices it saw."""
         rows = self.read(spark, "device_status") if rows is None else rows
-        return None if rows is None else rows.groupBy("device_id").agg(F.max("_winner").alias("_winner")).select(
+        return None if rows is None else newest_states(rows).select(
             "device_id", "_winner.region", "_winner.last_seen", "_winner.status", "_winner.temperature",
             "_winner.voltage")
 
@@ -101,32 +162,27 @@ class TableStore:
             F.min("created_at").alias("created_at"), F.min("arrival_ts").alias("arrival_ts"))
 
 
-def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    return TableStore(path.rstrip("/").rpartition("/")[0]).read(spark, path.rstrip("/").rpartition("/")[2])
-
-
 def next_run(spark: SparkSession, store: TableStore) -> int:
     """A run number above all in the store."""
-    started = read_or_none(spark, store.path("runs"))
+    started = store.read(spark, "runs")
     return 0 if started is None else started.agg(F.coalesce(F.max("run"), F.lit(-1))).first()[0] + 1
 
 
 def note_run(spark: SparkSession, store: TableStore, source: str, state: str, run: int) -> None:
-    spark.createDataFrame([(run, source, state)], "run bigint, source string, state string") \
+    spark.createDataFrame([(run, source, state)], RUNS_SCHEMA) \
         .coalesce(1).write.mode("append").parquet(store.path("runs"))
 
 
 def stream_run(spark: SparkSession, store: TableStore, source: str, checkpoint: str) -> int:
     """The run number of a checkpoint folder, kept in it.  A fresh checkpoint
     over a filled store is a new run: batch ids start again, tables stay."""
-    path = f"{checkpoint.rstrip('/')}/ingest_run"
-    known = read_or_none(spark, path)
-    if known is None:
-        run = next_run(spark, store)
-        note_run(spark, store, source, "stream", run)
-        spark.createDataFrame([(run,)], "run bigint").coalesce(1).write.parquet(path)
-        return run
-    return known.first()["run"]
+    kept = Files(spark, checkpoint)
+    if kept.exists("ingest_run"):
+        return int(kept.text("ingest_run"))
+    run = next_run(spark, store)
+    note_run(spark, store, source, "stream", run)
+    kept.put_new("ingest_run", str(run))
+    return run
 
 
 def raw_stream(spark: SparkSession, source: str, *, kafka_servers: str | None = None,
@@ -149,28 +205,23 @@ def raw_stream(spark: SparkSession, source: str, *, kafka_servers: str | None =
     return reader.parquet(source)
 
 
-def enrich_batch(new: DataFrame, history: DataFrame | None, materialize: Materialize = lazy) -> DataFrame:
+def enrich_batch(new: DataFrame, near: DataFrame | None, newest: DataFrame | None,
+                 materialize: Materialize = lazy) -> DataFrame:
     """Enrich the first arrivals of a batch against the stored history.
 
     Only two kinds of stored rows can influence a new row: rows of the same
-    device within 5 minutes before its timestamp (the trailing mean) and the
-    device's newest stored reading (the drop check).  Those are unioned with
-    the batch, enriched together, and only the batch rows are kept.  Every
-    history row comes before every batch row, whatever its offset, so the
-    result equals the one-shot enrichment.  ``materialize`` is called once, on
-    the union, which is read three times; ``new`` should be a written table.
+    device within 5 minutes before its timestamp (``near``, the trailing mean)
+    and the device's newest stored reading (``newest``, the drop check).  Those
+    are unioned with the batch, enriched together, and only the batch rows are
+    kept.  Every history row comes before every batch row, whatever its offset,
+    so the result equals the one-shot enrichment.  ``materialize`` is called
+    once, on the union, which is read three times; ``new`` should be a written
+    table.
     """
-    if history is None:
+    past = [rows for rows in (near, newest) if rows is not None]
+    if not past:
         return E.enrich(new)
-    band = new.groupBy("device_id").agg(
-        (F.unix_micros(F.min("timestamp")) - E.WINDOW_US).alias("_from_us"))
-    cols = new.columns
-    rest = [c for c in cols if c not in ("timestamp", "device_id", *E.ARRIVAL_ORDER)]
-    seen = history.select(*cols).join(band, "device_id")
-    near = seen.filter(F.unix_micros("timestamp") >= F.col("_from_us")).select(*cols)
-    newest = seen.groupBy("device_id").agg(
-        F.max(F.struct("timestamp", *E.ARRIVAL_ORDER, *rest)).alias("_m")).select("device_id", "_m.*").select(*cols)
-    context = near.unionByName(newest).dropDuplicates(["event_id"])
+    context = reduce(DataFrame.unionByName, past).dropDuplicates(["event_id"])
     both = materialize(context.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1))), "context")
     enriched = E.enrich(both, ["_new", *E.ARRIVAL_ORDER])
     return enriched.join(both.filter("_new = 1").select("event_id"), "event_id", "left_semi")
@@ -184,30 +235,46 @@ def delete(spark: SparkSession, path: str) -> None:
 def process_batch(batch: DataFrame, batch_id: int, store: TableStore,
                   processing_time: Callable[[DataFrame], Column] | None = None, run: int = 0) -> None:
     """Ingest one batch into the store; the batch job and ``foreachBatch`` both
-    call it.  Idempotent for a given (run, batch id), and it never touches
-    rows of another.  Events are written last: a batch whose events are
-    missing is simply done again.  Frames that are read more than once are
-    written under the store's ``_work`` folder, which keeps plans short and
-    survives lost executors, and deleted when the batch is done.
+    call it.  All its rows appear in one published version or not at all, and a
+    batch that is published already is left alone.  Frames that are read more
+    than once are written under the store's ``_work`` folder, which keeps plans
+    short and survives lost executors, and deleted when the batch is done.
     """
     spark = batch.sparkSession
+    manifest = store.manifest(spark)
+    base = manifest.version()
+    if base.has(run, batch_id):
+        return
     work = store.path(f"_work/{run}-{batch_id}")
 
     def written(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{work}/{name}")
         return spark.read.schema(df.schema).parquet(f"{work}/{name}")
 
+    change, index = Change(manifest, base), store.ids(manifest)
     routed = written(R.route(batch, processing_time), "routed")
-    history = store.earlier(spark, "events", run, batch_id)
-    first = E.first_arrivals(R.valid_deliveries(routed)).select(*STORED_COLUMNS)
-    if history is not None:
-        first = first.join(history.select("event_id"), "event_id", "left_anti")
-    first = written(first, "first")
-    events = written(enrich_batch(first, history, written).withColumn("event_date", F.to_date("timestamp")), "enriched")
-    store.write_batch(dead_letter_rows(R.failed_deliveries(routed)), "dead_letters", run, batch_id)
-    store.write_batch(S.ledger_rows(events), "ledger", run, batch_id)
-    store.write_batch(S.device_status(events), "device_status", run, batch_id)
-    store.write_batch(events, "events", run, batch_id)
+    first = written(E.first_arrivals(R.valid_deliveries(routed)).select(*STORED_COLUMNS), "first")
+    probe = index.unseen(base, first)
+    new = written(probe.unseen.select(*STORED_COLUMNS), "new")
+    enriched = enrich_batch(new, store.band(manifest, base, new), store.newest(manifest, base, new), written)
+    events = written(enriched.withColumn("event_date", F.to_date("timestamp")), "enriched")
+
+    def add(df: DataFrame, name: str) -> dict:
+        entry = store.write_batch(df, name, run, batch_id)
+        change.know(name, df)
+        change.add(name, entry)
+        return entry
+
+    add(dead_letter_rows(R.failed_deliveries(routed)), "dead_letters")
+    ledger = add(S.ledger_rows(events, "event_date"), "ledger")
+    index.append(change, new, run, batch_id)
+    store.readings(manifest).append(change, newest_readings(new), run, batch_id)
+    store.states(manifest).append(change, S.device_status(events).select("device_id", "_winner"), run, batch_id)
+    stored, wanted = add(events, "events"), new.count()
+    if not stored["rows"] == ledger["rows"] == wanted:
+        raise RuntimeError(f"{wanted} new events, but {stored['rows']} stored and {ledger['rows']} in the ledger")
+    change.next.batches[str(run)] = batch_id
+    change.publish(run=run, batch_id=batch_id, new_events=wanted, index_files=probe.files, index_opened=probe.opened)
     delete(spark, work)
 
 
