@@ -67,14 +67,24 @@ def recent_events(valid: DataFrame, stored: DataFrame, now: Column | None = None
     return ranked
 
 
+def iso_utc(ts: Column) -> Column:
+    """ISO 8601 in UTC with ``Z``; a fraction (six digits) only if there is one."""
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.when(F.unix_micros(ts) % 1000000 == 0, "").otherwise(F.date_format(ts, ".SSSSSS")), F.lit("Z"))
+
+
+def validated_payload() -> Column:
+    """The validated record's JSON: seven fields."""
+    return F.to_json(F.struct(*[iso_utc(F.col(c)).alias(c) if c == "timestamp" else F.col(c)
+                                for c in VALIDATED_FIELDS]))
+
+
 def ledger_rows(inserted: DataFrame, *keep: str, topic: str = VALIDATED_TOPIC) -> DataFrame:
     """Delivery-ledger rows written with the inserted events (one per id).
     ``keep``: further columns to carry."""
-    payload = F.to_json(F.struct(*[F.col(c) for c in VALIDATED_FIELDS]),
-                        {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
     return inserted.select(
         "event_id", F.lit(topic).alias("topic"), F.col("device_id").alias("message_key"),
-        payload.alias("payload"), F.col("processed_at").alias("created_at"), *keep)
+        validated_payload().alias("payload"), F.col("processed_at").alias("created_at"), *keep)
 
 
 def ledger_with_acks(ledger: DataFrame, acks: DataFrame) -> DataFrame:
