@@ -9,7 +9,8 @@ more chances to hold a window that looks bad).
 Training sees labels of documents, not of windows.  It starts, in each toxic
 document, with the window whose words are most over-represented in toxic
 documents, then repeatedly takes the windows that the network itself finds
-most toxic: of toxic documents as examples, of clean ones as counter-examples.
+most toxic: of toxic documents as examples (the worst window and all above the
+logit ``SURE``), of clean ones as counter-examples.
 Words and character n-grams of fewer than ``KNOWN_IN`` sampled documents have
 no embedding.  A fifth of the sample is not trained on: it fits the curve and
 chooses the round whose network is kept.
@@ -31,7 +32,6 @@ not read, whatever their names.  Empty table: empty result.
 from __future__ import annotations
 
 import pickle
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from fleetline.llm.common import short_batches, slices
 from fleetline.llm.gru import GRAM_BUCKETS, WORD_BUCKETS, Network, Words, hashed, sigmoid
+from fleetline.llm.langid import word_list
 
 WINDOW, STRIDE = 32, 16
 TOXIC, CLEAN, SAMPLE_CHARS = 2000, 4000, 4000
@@ -51,11 +52,6 @@ KNOWN_IN = 5
 SURE = 1.0
 BLOCK_WINDOWS = 4096
 THRESHOLD = 0.7
-LETTERS = re.compile(r"[^\W\d_]+")
-
-
-def word_list(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
 
 
 def cut(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -268,7 +264,8 @@ def learned(docs: DataFrame, labels: DataFrame) -> Scorer | None:
         scorer = trained([word_list(t) for t in rows["text"]], rows["toxic"].to_numpy(int))
         yield pd.DataFrame({"scorer": [pickle.dumps(scorer)]})
 
-    return pickle.loads(sample.coalesce(1).mapInPandas(train, "scorer binary").first()["scorer"])
+    row = sample.coalesce(1).mapInPandas(train, "scorer binary").first()
+    return None if row is None else pickle.loads(row["scorer"])
 
 
 def scored(docs: DataFrame, scorer: Scorer | None) -> DataFrame:
