@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD_SEPARATORS = r"[\x20\x09-\x0D]+"
 #: Tables of at most this many rows are broadcast; larger ones join salted.
 BROADCAST_ROWS = 50_000
+#: Lists that the paths of new scratch tables are noted in.
+_NOTED: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,16 +51,40 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
+    for paths in _NOTED:
+        paths.append(path)
     return out
 
 
+@contextmanager
+def noting(paths: list[str]):
+    """Note the scratch tables that are made inside the block."""
+    _NOTED.append(paths)
+    try:
+        yield
+    finally:
+        _NOTED.remove(paths)
+
+
+def release(docs: DataFrame, paths: list[str]) -> None:
+    """Delete noted scratch tables, but for those that ``docs`` reads."""
+    used = docs.inputFiles()
+    kept = [path for path in paths if any(f"/{path.rsplit('/', 1)[-1]}/" in file for file in used)]
+    for path in set(paths).difference(kept):
+        _delete(docs.sparkSession, path)
+    paths[:] = kept
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the table behind a frame that ``materialize`` returned."""
     path = getattr(df, "_scratch", None)
     if path:
-        spark = df.sparkSession
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(df.sparkSession, path)
 
 
 def packed(df: DataFrame) -> DataFrame:
