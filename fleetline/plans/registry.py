@@ -295,12 +295,11 @@ def hourly_rollup(c):
 def rollup_merge(c):
     """Eligible events rolled up in two batches (first 1000, then the rest), merged."""
     from fleetline.plans import retention as RT
-    first = RT.select_batch(c.events, c.ledger, c.params.cutoff, 1000).select("event_id")
-    eligible = RT.select_batch(c.events, c.ledger, c.params.cutoff, None).select("event_id")
-    ev = c.events
-    a = RT.rollup(ev.join(first, "event_id", "left_semi"))
-    b = RT.rollup(ev.join(eligible.join(first, "event_id", "left_anti"), "event_id", "left_semi"))
-    return RT.exposed(RT.merge(a, b))
+    from fleetline.plans.catalog import write_table
+    eligible = write_table(RT.select_batch(c.events, c.ledger, c.params.cutoff, None), "retention-eligible")
+    first = eligible.orderBy("timestamp", "event_id").limit(1000)
+    rest = eligible.join(first.select("event_id"), "event_id", "left_anti")
+    return RT.exposed(RT.merge(RT.rollup(first), RT.rollup(rest)))
 
 
 @register("retention_remaining")
@@ -317,7 +316,8 @@ def retention_remaining(c):
 def retention_report(c):
     """Report of an executed pass with a batch bound of 1000."""
     from fleetline.plans import retention as RT
-    return RT.run(c.events, c.ledger, None, c.params.cutoff, 1000, execute=True).report
+    from fleetline.plans.catalog import write_table
+    return RT.run(c.events, c.ledger, None, c.params.cutoff, 1000, execute=True, materialize=write_table).report
 
 
 # --- V1-V7: decode, normalise, validate, route ---------------------------------
@@ -504,6 +504,71 @@ def alert_states(c):
     return slo.alert_states(samples, rules)
 
 
+@register("alert_rules")
+def alert_rules(c):
+    """M6 + M7: all six rules every minute, over samples derived from the tables
+    (readiness and a consumer stall as FIXTURES.md describes them)."""
+    from fleetline.constants import ALERT_RULES
+    from fleetline.plans import slo
+    from fleetline.sources import fixture
+    from pyspark.sql import functions as F
+    grid = slo.minute_grid(F.timestamp_micros(F.lit(fixture.BASE_US)), c.params.now, c.events)
+    lag = slo.lag_samples(fixture.stalled(c.ingest.routed), grid).select(
+        F.lit("queue_lag").alias("metric"), "ts", F.col("lag").cast("double").alias("value"))
+    restart = F.lit(fixture.BASE_US // 60000000 + fixture.NOT_READY_MINUTES[0])
+    samples = slo.dlq_ratio_samples(c.events, c.dead_letters, grid)
+    for more in (slo.oldest_pending_samples(c.ledger, grid), lag, fixture.readiness_samples(c.ingest.routed),
+                 slo.persistence_p99(slo.bucket_counters(c.events, grid, restart))):
+        samples = samples.unionByName(more)
+    rules = [(name, metric, agg, op, fixture.LAG_THRESHOLD if metric == "queue_lag" else threshold, hold)
+             for name, metric, agg, op, threshold, hold in ALERT_RULES]
+    return slo.evaluate_rules(samples, grid, rules, when_absent=["TelemetryWorkerUnavailable"])
+
+
+@register("request_latency_histogram")
+def request_latency_histogram(c):
+    """M2: request latencies in milliseconds, per concurrency."""
+    from fleetline.plans import requests as B
+    from fleetline.plans import slo
+    from pyspark.sql import functions as F
+    return slo.request_latency_histogram(B.fixture_request_log(c.table("events")), [F.col("concurrency")]).select(
+        "concurrency", "le", "count")
+
+
+@register("validated_records")
+def validated_records(c):
+    """The records that the validated stream gets, their payload parsed again."""
+    from fleetline.plans import dispatch
+    from pyspark.sql import functions as F
+    sent = dispatch.validated_records(c.ingest.ledger, c.params.now)
+    body = F.col("value").cast("string")
+    p = F.from_json(body, "event_id string, device_id string, timestamp string, avg_temperature_5m double, "
+                          "voltage_drop_detected boolean, event_lag_ms bigint, outlier_detected boolean").alias("p")
+    return sent.select(
+        F.col("key").cast("string").alias("record_key"), F.col("headers")[0]["key"].alias("header_name"),
+        F.col("headers")[0]["value"].cast("string").alias("header_value"),
+        F.array_join(F.json_object_keys(body), ",").alias("payload_keys"), p).select(
+        "record_key", "header_name", "header_value", "payload_keys", "p.*")
+
+
+@register("dead_letter_records")
+def dead_letter_records(c):
+    """The records that the dead-letter stream gets, their body parsed again."""
+    from fleetline.plans import dispatch
+    from pyspark.sql import functions as F
+    sent = dispatch.dead_letter_records(c.dead_letters, c.params.now)
+    body = F.col("value").cast("string")
+    return sent.select(
+        F.col("key").cast("string").alias("record_key"), F.array_join(F.json_object_keys(body), ",").alias("body_keys"),
+        F.get_json_object(body, "$.reason").alias("reason"),
+        F.get_json_object(body, "$.source.topic").alias("topic"),
+        F.get_json_object(body, "$.source.partition").cast("int").alias("partition"),
+        F.get_json_object(body, "$.source.offset").cast("bigint").alias("offset"),
+        F.get_json_object(body, "$.payload.event.device_id").alias("device_id"),
+        F.get_json_object(body, "$.payload.raw_base64").isNotNull().alias("raw"),
+        F.get_json_object(body, "$.failed_at").alias("failed_at"))
+
+
 # --- B1-B3, C1: request log and quota -----------------------------------------------
 
 def _accepted_ids(c):

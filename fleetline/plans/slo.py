@@ -14,7 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetline.constants import DLQ_RATIO_FLOOR, PERSISTENCE_LATENCY_BUCKETS_S
+from fleetline.constants import (
+    DLQ_RATIO_FLOOR, PERSISTENCE_LATENCY_BUCKETS_S, PROCESSING_LATENCY_BUCKETS_MS,
+)
 
 # --- fixed values: bucket labels of the persistence-latency histogram ---------
 BUCKET_LABELS = ("0.05", "0.1", "0.25", "0.5", "1", "2", "5", "10", "30", "60", "+Inf")
@@ -44,19 +46,31 @@ def _bucket_index(latency_us: Column, bounds_s: Sequence[float]) -> Column:
 
 
 def latency_histogram(events: DataFrame, by: Sequence[Column] = ()) -> DataFrame:
-    """M2: cumulative ``le`` bucket counts of accepted-to-persisted latency.
+    """M2: cumulative ``le`` bucket counts of accepted-to-persisted latency."""
+    return histogram(events, _latency_us(events), PERSISTENCE_LATENCY_BUCKETS_S, BUCKET_LABELS, by)
+
+
+def request_latency_histogram(log: DataFrame, by: Sequence[Column] = ()) -> DataFrame:
+    """M2: cumulative bucket counts of request latencies in milliseconds."""
+    labels = [*map(str, PROCESSING_LATENCY_BUCKETS_MS), "+Inf"]
+    return histogram(log, F.col("latency_ms") * 1e6, PROCESSING_LATENCY_BUCKETS_MS, labels, by)
+
+
+def histogram(rows: DataFrame, value_millionths: Column, upper_bounds: Sequence[float], bucket_labels: Sequence[str],
+              by: Sequence[Column] = ()) -> DataFrame:
+    """Cumulative bucket counts of a value given in millionths of the bounds' unit.
 
     Each row is counted once in its own bucket (a partial aggregation), then
     the small bucket table is cumulated; no rows x bounds cross join.
     """
-    per = events.groupBy(*by, _bucket_index(_latency_us(events), PERSISTENCE_LATENCY_BUCKETS_S).alias("bucket")) \
+    per = rows.groupBy(*by, _bucket_index(value_millionths, upper_bounds).alias("bucket")) \
         .agg(F.count(F.lit(1)).alias("n"))
-    labels = F.array(*[F.lit(x) for x in BUCKET_LABELS])
-    bounds = F.array(*[F.lit(float(b)) for b in PERSISTENCE_LATENCY_BUCKETS_S], F.lit(float("inf")))
-    grid = events.sparkSession.range(len(BUCKET_LABELS)).select(F.col("id").cast("int").alias("bucket"))
+    labels = F.array(*[F.lit(x) for x in bucket_labels])
+    bounds = F.array(*[F.lit(float(b)) for b in upper_bounds], F.lit(float("inf")))
+    grid = rows.sparkSession.range(len(bucket_labels)).select(F.col("id").cast("int").alias("bucket"))
     keys = [c for c in per.columns if c not in ("bucket", "n")]
     if keys:
-        grid = per.select(*keys).distinct().crossJoin(grid)   # keys x 11 buckets
+        grid = per.select(*keys).distinct().crossJoin(grid)   # keys x buckets
     full = grid.join(per, [*keys, "bucket"], "left").fillna(0, ["n"])
     w = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     return full.select(*keys, "bucket", F.element_at(labels, F.col("bucket") + 1).alias("le"),
@@ -125,26 +139,56 @@ def dlq_ratio_samples(events: DataFrame, dead: DataFrame, grid: DataFrame, minut
                          (bad / F.greatest(ok + bad, F.lit(DLQ_RATIO_FLOOR))).alias("value"))
 
 
+LEVELS = 26                     # dyadic ranges up to 2^26 minutes: all minutes until the year 2097
+
+
+def _power(level: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+
+
+def dyadic_cover(low: Column, high: Column) -> Column:
+    """The dyadic ranges ``(level, index)`` that together are ``[low, high)``:
+    at most two of each level, those of a segment tree over the integers."""
+    def at(level: Column) -> Column:
+        size = _power(level)
+        first, last = F.ceil(low / size), F.floor(high / size)
+        odd_first = (first < last) & (first % 2 == 1)
+        odd_last = (first + odd_first.cast("bigint") < last) & (last % 2 == 1)
+        node = lambda index: F.struct(level.alias("level"), index.cast("bigint").alias("index"))
+        return F.array_compact(F.array(F.when(odd_first, node(first)), F.when(odd_last, node(last - 1))))
+    # low / size is exact in doubles: minutes stay far below 2^53
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at))
+
+
+def interval_minimum(intervals: DataFrame, low: str, high: str, value: str, points: DataFrame, point: str) -> DataFrame:
+    """``points`` with ``_min``: the least ``value`` of the intervals
+    ``[low, high)`` that hold the point (null if none does).
+
+    An interval is written to the at most 2 log(length) dyadic ranges that
+    cover it, a point looks at the ranges above it, one a level: an outage of a
+    day costs a ledger row some twenty rows, not one per minute."""
+    nodes = intervals.filter(F.col(low) < F.col(high)).select(
+        F.explode(dyadic_cover(F.col(low), F.col(high))).alias("_n"), F.col(value).alias("_v")) \
+        .groupBy("_n").agg(F.min("_v").alias("_v"))
+    above = points.select(point).distinct().withColumn("_n", F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(LEVELS)),
+        lambda level: F.struct(level.alias("level"),
+                               F.floor(F.col(point) / _power(level)).alias("index")))))
+    least = above.join(nodes, "_n").groupBy(point).agg(F.min("_v").alias("_min"))
+    return points.join(least, point, "left")
+
+
 def oldest_pending_samples(ledger: DataFrame, grid: DataFrame) -> DataFrame:
     """Per sample instant t: age of the oldest ledger row pending at t
     (created <= t and not yet published at t); 0 when none."""
-    never = ledger.filter(F.col("published_at").isNull()).groupBy(
-        F.ceil(F.unix_micros("created_at") / 60000000).alias("m")).agg(F.min("created_at").alias("c"))
+    minute = lambda c: F.ceil(F.unix_micros(c) / 60000000)
+    open_ = ledger.select("created_at", minute("created_at").alias("_low"), F.coalesce(
+        minute("published_at"), F.lit(1 << LEVELS).cast("bigint")).alias("_high"))
+    open_ = open_.groupBy("_low", "_high").agg(F.min("created_at").alias("created_at"))
     g = grid.select("ts", (F.unix_micros("ts") / 60000000).cast("bigint").alias("m"))
-    w = Window.orderBy("m").rowsBetween(Window.unboundedPreceding, 0)   # small grid
-    open_never = g.join(never, "m", "left").select("ts", "m", F.min("c").over(w).alias("oldest_never"))
-    # published rows are pending only between creation and acknowledgement:
-    # attach each to the sample instants inside that interval (few per row)
-    pub = ledger.filter(F.col("published_at").isNotNull()).select(
-        "created_at", "published_at",
-        F.explode(F.sequence(F.ceil(F.unix_micros("created_at") / 60000000),
-                             F.ceil(F.unix_micros("published_at") / 60000000))).alias("m"))
-    pub = pub.filter(F.col("m") * 60000000 < F.unix_micros("published_at")) \
-        .groupBy("m").agg(F.min("created_at").alias("oldest_open"))
-    both = open_never.join(pub, "m", "left")
-    oldest = F.least("oldest_never", "oldest_open")
+    both = interval_minimum(open_, "_low", "_high", "created_at", g, "m")
     return both.select(F.lit("outbox_oldest_pending_seconds").alias("metric"), "ts",
-                       F.coalesce((F.unix_micros("ts") - F.unix_micros(oldest)) / F.lit(1e6), F.lit(0.0))
+                       F.coalesce((F.unix_micros("ts") - F.unix_micros("_min")) / F.lit(1e6), F.lit(0.0))
                        .alias("value"))
 
 
@@ -159,8 +203,13 @@ def alert_states(samples: DataFrame, rules: Sequence[tuple[str, str, str, float,
     s = samples.join(F.broadcast(rule_df), "metric")   # rules: a fixed handful of rows
     cond = F.when(F.col("op") == ">", F.col("value") > F.col("threshold")) \
         .otherwise(F.col("value") < F.col("threshold"))
+    return _states(s.withColumn("condition", F.coalesce(cond, F.lit(False))))
+
+
+def _states(staged: DataFrame) -> DataFrame:
+    """State of every sample from ``condition`` and ``hold_s``."""
     w = Window.partitionBy("alert").orderBy("ts")
-    staged = s.withColumn("condition", F.coalesce(cond, F.lit(False))) \
+    staged = staged \
         .withColumn("_flip", F.when(F.col("condition") != F.coalesce(F.lag("condition").over(w), F.lit(False)), 1)
                     .otherwise(0))
     staged = staged.withColumn("_island", F.sum("_flip").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -171,6 +220,72 @@ def alert_states(samples: DataFrame, rules: Sequence[tuple[str, str, str, float,
     return staged.select("alert", "ts", "value", "condition", state.alias("state"))
 
 
+def evaluate_rules(samples: DataFrame, grid: DataFrame, rules: Sequence[tuple[str, str, str, str, float, int]],
+                   when_absent: Sequence[str] = ()) -> DataFrame:
+    """M6 + M7: every rule at every instant of ``grid``.
+
+    ``samples``: (metric, ts, value), a row per label set; ``rules``: (alert,
+    metric, aggregate over label sets, op, threshold, hold seconds).  A rule
+    named in ``when_absent`` holds where its metric has no sample at all; any
+    other does not hold there.
+    """
+    spark = samples.sparkSession
+    rule_df = spark.createDataFrame(
+        [(*r, r[0] in when_absent) for r in rules],
+        "alert string, metric string, agg string, op string, threshold double, hold_s int, absent boolean")
+    over = samples.groupBy("metric", "ts").agg(
+        F.max("value").alias("_max"), F.min("value").alias("_min"), F.sum("value").alias("_sum"))
+    expected = grid.select("ts").crossJoin(F.broadcast(rule_df))        # instants x a handful of rules
+    s = expected.join(over, ["metric", "ts"], "left").withColumn(
+        "value", F.when(F.col("agg") == "max", F.col("_max")).when(F.col("agg") == "min", F.col("_min"))
+        .otherwise(F.col("_sum")))
+    cond = F.when(F.col("value").isNull(), F.col("absent")).when(F.col("op") == ">", F.col("value") > F.col("threshold")) \
+        .otherwise(F.col("value") < F.col("threshold"))
+    return _states(s.withColumn("condition", cond))
+
+
+def counter_increase(samples: DataFrame, keys: Sequence[str], minutes: int) -> DataFrame:
+    """Increase of counters (keys, ts, value; a sample a minute) over the last
+    ``minutes``: the sum of the steps, where a counter below its predecessor
+    has begun again at zero.  A counter's first sample is a step from zero."""
+    keys = list(keys)
+    w = Window.partitionBy(*keys).orderBy("_m")                         # a series: one row a minute
+    before = F.coalesce(F.lag("value").over(w), F.lit(0))
+    step = F.when(F.col("value") >= before, F.col("value") - before).otherwise(F.col("value"))
+    m = (F.unix_micros("ts") / 60000000).cast("bigint")
+    return (samples.withColumn("_m", m).withColumn("_step", step)
+            .withColumn("increase", F.sum("_step").over(w.rangeBetween(-(minutes - 1), 0))).drop("_m", "_step"))
+
+
+def persistence_p99(counters: DataFrame, minutes: int = 5) -> DataFrame:
+    """p99 per instant from cumulative bucket counters (worker, bucket, upper,
+    ts, value): increases over ``minutes``, summed over workers, interpolated."""
+    per = counter_increase(counters, ["worker", "bucket", "upper"], minutes)
+    summed = per.groupBy("ts", "bucket", "upper").agg(F.sum("increase").alias("count"))
+    return histogram_quantile(summed, 0.99, ["ts"]).select(
+        F.lit("persistence_p99_seconds").alias("metric"), "ts", F.col("seconds").alias("value"))
+
+
+def bucket_counters(events: DataFrame, grid: DataFrame, restart_minute: Column) -> DataFrame:
+    """Cumulative latency counters per worker (source partition) at every grid
+    minute, as a worker exports them: they begin again after ``restart_minute``."""
+    per = events.groupBy(
+        F.col("source_partition").alias("worker"), _bucket_index(_latency_us(events), PERSISTENCE_LATENCY_BUCKETS_S)
+        .alias("_own"), F.ceil(F.unix_micros("processed_at") / 60000000).alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    spark = events.sparkSession
+    bounds = F.array(*[F.lit(float(b)) for b in PERSISTENCE_LATENCY_BUCKETS_S], F.lit(float("inf")))
+    buckets = spark.range(len(BUCKET_LABELS)).select(
+        F.col("id").cast("int").alias("bucket"), F.element_at(bounds, F.col("id").cast("int") + 1).alias("upper"))
+    g = grid.select("ts", (F.unix_micros("ts") / 60000000).cast("bigint").alias("m"))
+    cells = per.select("worker").distinct().crossJoin(F.broadcast(buckets)).crossJoin(g)   # workers x 11 x minutes
+    counted = per.join(F.broadcast(buckets), F.col("_own") <= F.col("bucket")).groupBy("worker", "bucket", "m").agg(
+        F.sum("n").alias("n"))
+    run = (F.col("m") > restart_minute).cast("int")
+    w = Window.partitionBy("worker", "bucket", run).orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
+    return cells.join(counted, ["worker", "bucket", "m"], "left").select(
+        "worker", "bucket", "upper", "ts", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("value"))
+
+
 def lag_samples(routed: DataFrame, grid: DataFrame) -> DataFrame:
     """M7: consumer lag per source partition at every sample instant, and its sum.
 

@@ -146,3 +146,38 @@ class FixtureParams:
     @property
     def cutoff(self) -> Column:
         return F.timestamp_micros(F.lit(self.cutoff_us))
+
+
+# --- fixed values: fixture samples (minutes after the fixture's start) -------
+NOT_READY_MINUTES = (60, 63)          # no worker is ready; a restart follows minute 60
+ABSENT_MINUTES = (120, 124)           # no worker is scraped
+CACHE_DOWN_MINUTES = (180, 184)       # the cache dependency is not ready
+STALL_MINUTES = (241, 250)            # deliveries appended then are processed after minute 251
+DEPENDENCIES = ("log", "store", "cache")
+LAG_THRESHOLD = 100.0                 # fits the fixture's rate at sf0.01
+
+
+def _minute(ts: Column) -> Column:
+    """Minutes after the fixture's start, of the minute that ends at or after ``ts``."""
+    return F.ceil((F.unix_micros(ts) - F.lit(BASE_US)) / 60000000)
+
+
+def readiness_samples(routed: DataFrame) -> DataFrame:
+    """(metric, ts, value): a scrape per source partition and minute with a
+    delivery.  Partition p is worker p, and stands for dependency p too."""
+    seen = routed.select(_minute(F.col("arrival_ts")).alias("m"), F.col("source_partition").alias("p")).distinct()
+    ts = F.timestamp_micros(F.lit(BASE_US) + F.col("m") * 60000000)
+    worker = seen.filter(~F.col("m").between(*ABSENT_MINUTES)).select(
+        F.lit("worker_ready").alias("metric"), ts.alias("ts"),
+        F.when(F.col("m").between(*NOT_READY_MINUTES), 0.0).otherwise(1.0).alias("value"))
+    down = (F.col("p") == DEPENDENCIES.index("cache")) & F.col("m").between(*CACHE_DOWN_MINUTES)
+    return worker.unionByName(seen.select(F.lit("dependency_ready").alias("metric"), ts.alias("ts"),
+                                          F.when(down, 0.0).otherwise(1.0).alias("value")))
+
+
+def stalled(routed: DataFrame) -> DataFrame:
+    """Deliveries with a consumer that stood still for ten minutes."""
+    end = F.timestamp_micros(F.lit(BASE_US + (STALL_MINUTES[1] + 1) * 60000000 + 1))
+    return routed.withColumn("processed_at", F.when(
+        _minute(F.col("arrival_ts")).between(*STALL_MINUTES), F.greatest("processed_at", end))
+        .otherwise(F.col("processed_at")))
