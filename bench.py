@@ -43,6 +43,8 @@ def main() -> None:
 
     timings: dict[str, float] = {}
     for name, fn in REGISTRY.items():
+        if name == "recent_50_stream":      # a stream of three micro-batches, no headline query
+            continue
         t = time.time()
         fn(spark, sf_dir).collect()
         timings[name] = round(time.time() - t, 3)

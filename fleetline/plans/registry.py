@@ -99,6 +99,17 @@ def latest_touched(c):
         "device_id", "event_id", "timestamp", "temperature", "voltage")
 
 
+@register("recent_50_stream")
+def recent_50_stream(c):
+    """T2 + T3 from stream state: the log in three micro-batches."""
+    from fleetline.sources.fixture import BASE_US
+    from fleetline.streaming.recent import replayed
+    from pyspark.sql import functions as F
+    thirds = [(None, 2), (2, 4), (4, None)]            # hours after the fixture's start
+    return replayed(c.spark, c.deliveries, F.timestamp_micros(F.lit(BASE_US)), thirds, "INTERVAL {} HOURS", partitions=4).select(
+        "device_id", "event_id", "position")
+
+
 @register("ledger_insert")
 def ledger_insert(c):
     """T4: one delivery-ledger row per inserted event."""

@@ -13,8 +13,9 @@ operators as the batch job.  Per micro-batch:
    rows of their devices in their dates' 5-minute band and their devices'
    newest reading, a table of one row per device (exact, see
    :func:`enrich_batch`);
-5. write dead letters, ledger rows, ids, device states and events to new
-   folders, check the counts, and publish them together as the next version.
+5. write dead letters, ledger rows, ids, device states, events and the batch's
+   share of the counters to new folders, check the counts, and publish them
+   together as the next version.
 
 So no step reads the whole history, a batch that fails before the last step
 leaves every table as it was, and a repeated one begins again from there.
@@ -42,6 +43,7 @@ from pyspark.sql import types as T
 from fleetline.operators import enrich as E
 from fleetline.operators import route as R
 from fleetline.operators import state as S
+from fleetline.plans.deadletter import reason_class
 from fleetline.plans.pipeline import Materialize, dead_letter_rows, lazy
 from fleetline.tables.bucketed import Bucketed
 from fleetline.tables.ids import IdIndex
@@ -153,6 +155,12 @@ class TableStore:
             "device_id", "_winner.region", "_winner.last_seen", "_winner.status", "_winner.temperature",
             "_winner.voltage")
 
+    def counters(self, spark: SparkSession) -> DataFrame | None:
+        """The pipeline's counters: all batches' samples added up."""
+        rows = self.read(spark, "metric_samples")
+        return None if rows is None else rows.groupBy(
+            "metric", F.element_at("labels", "reason").alias("reason")).agg(F.sum("value").alias("value"))
+
     def dead_letters(self, spark: SparkSession) -> DataFrame | None:
         """One row per coordinate over all batches: first payload and
         creation time, latest reason."""
@@ -232,6 +240,22 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+SAMPLES_SCHEMA = "metric string, labels map<string, string>, value double"
+
+
+def batch_samples(routed: DataFrame, new_events: int) -> DataFrame:
+    """M1 live: what one batch adds to the pipeline's counters, a row per
+    metric and label set.  ``routed`` is a written table."""
+    spark = routed.sparkSession
+    rows = routed.groupBy(reason_class(F.col("reason")).alias("reason")).count().collect()    # reason families
+    counts = {r["reason"]: r["count"] for r in rows}
+    valid = counts.pop(None, 0)
+    out = [("events_ingested_total", {}, float(valid + sum(counts.values()))),
+           ("events_processed_total", {}, float(new_events)), ("duplicate_events_total", {}, float(valid - new_events))]
+    out += [("dead_letter_count", {"reason": reason}, float(n)) for reason, n in sorted(counts.items())]
+    return spark.createDataFrame(out, SAMPLES_SCHEMA).withColumn("ts", F.current_timestamp())
+
+
 def process_batch(batch: DataFrame, batch_id: int, store: TableStore,
                   processing_time: Callable[[DataFrame], Column] | None = None, run: int = 0) -> None:
     """Ingest one batch into the store; the batch job and ``foreachBatch`` both
@@ -273,6 +297,7 @@ def process_batch(batch: DataFrame, batch_id: int, store: TableStore,
     stored, wanted = add(events, "events"), new.count()
     if not stored["rows"] == ledger["rows"] == wanted:
         raise RuntimeError(f"{wanted} new events, but {stored['rows']} stored and {ledger['rows']} in the ledger")
+    add(batch_samples(routed, wanted).coalesce(1), "metric_samples")
     change.next.batches[str(run)] = batch_id
     change.publish(run=run, batch_id=batch_id, new_events=wanted, index_files=probe.files, index_opened=probe.opened)
     delete(spark, work)

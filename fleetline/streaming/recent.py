@@ -23,6 +23,7 @@ cache it stands for; ``read`` applies it to any instant asked.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from fleetline.constants import CACHE_TTL_SECONDS, RECENT_LIST_SIZE
 from fleetline.operators import route as R
+from fleetline.session import checkpoint_dir
 from fleetline.streaming.job import raw_stream
 from fleetline.tables.bucketed import Bucketed
 from fleetline.tables.manifest import Change, Manifest
@@ -195,3 +197,29 @@ def run_until_idle(query, seconds: float = 600.0) -> None:
         query.stop()
     if query.exception() is not None:
         raise query.exception()
+
+
+def replayed(spark: SparkSession, log: DataFrame, start_at: Column, slices, interval: str, files: int = 2,
+             partitions: int = 8) -> DataFrame:
+    """The lists after a log was streamed slice by slice (``slices`` of its
+    append time, in ``interval`` units after ``start_at``), a micro-batch each.
+
+    Everything lies under the shared checkpoint folder.  The number of state
+    partitions is fixed when a stream begins, so it is set for that moment."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/recent-{uuid.uuid4().hex}"
+    for low, high in slices:
+        part = log
+        if low is not None:
+            part = part.filter(F.col("timestamp") >= start_at + F.expr(interval.format(low)))
+        if high is not None:
+            part = part.filter(F.col("timestamp") < start_at + F.expr(interval.format(high)))
+        part.repartition(files).write.mode("append").parquet(f"{root}/log")    # later files, later batches
+    store, key = RecentStore(f"{root}/tables"), "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        run_until_idle(start(spark, f"{root}/log", store, f"{root}/checkpoint", max_per_trigger=files,
+                             interval="0 seconds"), 3600)
+    finally:
+        spark.conf.set(key, before)
+    return store.read(spark)

@@ -105,6 +105,20 @@ def test_failure_before_publishing_changes_nothing(spark, monkeypatch):
         Change(store.manifest(spark), version).publish()
 
 
+def test_live_counters_equal_the_tables(spark):
+    store = fresh()
+    for batch, bodies in enumerate(([envelope(event("a")), envelope(event("a")), b"{bad"],
+                                    [envelope(event("b")), envelope(event("a")), envelope(event("c"), version=9)])):
+        ingest(spark, store, batch, bodies)
+        ingest(spark, store, batch, bodies)                             # a repeated batch adds nothing
+    got = {(r["metric"], r["reason"]): r["value"] for r in store.counters(spark).collect()}
+    events, dead = store.read(spark, "events").count(), store.dead_letters(spark).count()
+    assert got == {("events_ingested_total", None): 6.0, ("events_processed_total", None): float(events),
+                   ("duplicate_events_total", None): 2.0, ("dead_letter_count", "invalid JSON"): 1.0,
+                   ("dead_letter_count", "unsupported schema_version"): 1.0}
+    assert events == 2 and dead == 2
+
+
 def test_damaged_store_is_an_error(spark):
     store = fresh()
     assert store.read(spark, "events") is None and store.read(spark, "runs") is None
