@@ -14,7 +14,8 @@ probability in every language.
 
 Scale.  Tasks count words first, cut each distinct word once and send at most
 vocabulary x languages counts; the model has that size too and is the only
-thing broadcast.  Words' likelihoods are kept in a bounded table per task.
+thing broadcast.  Words' likelihoods are kept in a bounded table per worker
+process.
 
 Cases.  Null text or text without a letter: ``und`` with score 0.  Nothing to
 learn from: ``und``.  Null ``lang``: not learned from.  Repeated rows count
@@ -25,6 +26,7 @@ and never underflows.  Empty table: empty result.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -51,8 +53,12 @@ def vocabulary(path: str):
 
 
 def word_list(text: str) -> list[str]:
-    """Runs of letters, in lower case."""
-    return LETTERS.findall(text.lower())
+    """Runs of letters (Unicode category L), in lower case."""
+    found = LETTERS.findall(text.lower())
+    if "".join(found).isalpha():
+        return found
+    # ``LETTERS`` also takes numerals such as fractions and circled digits.
+    return [run for word in found for run in "".join(c if c.isalpha() else " " for c in word).split()]
 
 
 def piece_counts(docs: DataFrame, path: str) -> DataFrame:
@@ -135,6 +141,18 @@ class Likelihoods:
         return [self.table[np.fromiter(map(at, words), np.int64, len(words))].sum(axis=0) for words in texts]
 
 
+#: Likelihoods of the model a worker process serves; words met in one task are
+#: not scored anew in its next.
+_SERVED: dict[str, Likelihoods] = {}
+
+
+def likelihoods_of(key: str, shared) -> Likelihoods:
+    if key not in _SERVED:
+        _SERVED.clear()
+        _SERVED[key] = Likelihoods(shared.value)
+    return _SERVED[key]
+
+
 def learned(docs: DataFrame, path: str | None = None) -> Model | None:
     """Model of the languages in ``docs`` (text, lang); None without any."""
     path = path or public_tokenizers.path(VOCABULARY)
@@ -159,11 +177,11 @@ def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
     if model is None:
         return rows.select("doc_id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     short_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        likelihoods = Likelihoods(model)
+        likelihoods = likelihoods_of(key, shared)
+        model = likelihoods.model
         for batch in batches:
             langs, scores = [], []
             for texts in slices(batch["text"]):
