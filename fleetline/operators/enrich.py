@@ -99,17 +99,14 @@ def _window_totals(stored: DataFrame) -> DataFrame:
     return sums.filter("_one = 1").select("event_id", "_a_sum", "_a_n")
 
 
-def _later_arrivals_in_window(stored: DataFrame, rows: DataFrame,
-                              order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
+def _later_arrivals_in_window(rows: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
     """Per event: sum and count of rows that arrived later yet lie in its window.
 
-    ``rows`` carries ``_prev`` (to find late rows); candidates come from ``stored``.
-    """
-    late = rows.filter(F.col("_prev").isNotNull() & (F.col("_ts_us") <= F.col("_prev.ts_us")))
-    return later_in_band(
-        late, stored.withColumn("_ts_us", F.unix_micros("timestamp")), ["device_id"], "event_id", order,
-        _offset_chunk(order), "_ts_us", WINDOW_US, SUB_BUCKET_US,
-        {"_b_sum": F.col("temperature").cast(EXACT), "_b_n": F.lit(1)})
+    ``rows`` are the stored rows with ``_prev``: late rows are those whose
+    timestamp is not above the newest earlier arrival."""
+    late = F.col("_prev").isNotNull() & (F.col("_ts_us") <= F.col("_prev.ts_us"))
+    return later_in_band(rows, late, ["device_id"], "event_id", order, "_ts_us", WINDOW_US,
+                         {"_b_sum": F.col("temperature").cast(EXACT), "_b_n": F.lit(1)})
 
 
 def enrich(stored: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
@@ -117,13 +114,13 @@ def enrich(stored: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame
 
     ``stored`` holds the first delivery of every event with the typed event
     fields, ``received_at``, ``processed_at`` and the arrival order columns
-    (``order`` may put a column before them).  It is read three times (running
-    arg-max, window totals, late-row candidates), so it should be a
-    materialised table, not a long lineage.
+    (``order`` may put a column before them).  It is read more than once
+    (running arg-max, window totals), so it should be a materialised table, not
+    a long lineage.
     """
     prev = previous_reading(stored, order)
     totals = _window_totals(stored)
-    later = _later_arrivals_in_window(stored, prev, order)
+    later = _later_arrivals_in_window(prev, order)
     joined = prev.join(totals, "event_id").join(later, "event_id", "left")
     n = F.col("_a_n") - 1 - F.coalesce(F.col("_b_n"), F.lit(0))
     s = (F.col("_a_sum") - F.col("temperature").cast(EXACT)

@@ -109,11 +109,11 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
             .filter(F.col(rank_col) <= k))
 
 
-def later_in_band(points: DataFrame, queries: DataFrame, keys: Sequence[str], id_col: str, order: Sequence[str],
-                  chunk: Column, position: str, width: int, step: int, values: dict[str, Column]) -> DataFrame:
-    """Per query: sums of ``values`` over the points that come *later* in
-    ``order`` and whose ``position`` lies in ``[q - width, q]``; queries
-    without such a point are left out.
+def later_in_band(rows: DataFrame, point: Column, keys: Sequence[str], id_col: str, order: Sequence[str],
+                  position: str, width: int, values: dict[str, Column]) -> DataFrame:
+    """Per row: sums of ``values`` over the points (rows where ``point`` holds)
+    that come *later* in ``order`` and whose ``position`` lies in
+    ``[p - width, p]``; rows without such a point may be left out.
 
     Two-dimensional dominance sums by merge levels.  Rows are grouped by
     (key, bucket of ``width`` positions); a point joins its own and the next
@@ -121,41 +121,38 @@ def later_in_band(points: DataFrame, queries: DataFrame, keys: Sequence[str], id
     ranked by ``order``.  At level l the group is cut into blocks of 2^l ranks:
     two members lie in neighbouring blocks of one pair at exactly one level,
     the later one on the right.  So on every level the points of the right
-    block are summed along ``position`` up to each query of the left block
-    (:func:`running_sums`), once up to ``q`` and once up to just before
-    ``q - width``.  n members cost n log n rows however disordered they are,
-    where a join of later with earlier rows costs up to n^2; a crowded group
-    is dealt by level, pair and ``step`` positions.
-
-    ``points`` and ``queries`` have keys, id, order and position columns (and
-    what ``values`` reads, for points); values must be decimals or integers.
+    block are summed along ``position`` up to each query of the left block,
+    once up to ``p`` and once up to just before ``p - width``.  n members of
+    groups that have a point cost n log n rows however disordered they are,
+    where a join of later with earlier rows costs up to n^2.  A group is one
+    key's rows of two buckets: what a task sorts does not grow with the span
+    of the data.  ``rows`` is read once; values must be decimals or integers.
     """
     keys, order, group = list(keys), list(order), [*keys, "_bucket"]
     bucket = F.floor(F.col(position) / F.lit(width)).cast("bigint")
-    base = [*keys, id_col, *order, F.col(position).alias("_at")]
-    pts = points.select(*base, *[c.alias(f"_p_{n}") for n, c in values.items()], F.lit(True).alias("_point"),
-                        F.explode(F.array(bucket, bucket + 1)).alias("_bucket"))
-    busy = pts.groupBy(*group).agg(F.min("_at").alias("_from"), F.max(F.struct(*order)).alias("_last"))
-    asks = queries.select(*base, bucket.alias("_bucket")).join(busy, group) \
-        .filter((F.col("_at") >= F.col("_from")) & (F.struct(*order) < F.col("_last"))).drop("_from", "_last") \
-        .withColumn("_query", F.lit(True))
-    # A row that is point and query in a group is one member of it.
-    members = asks.unionByName(pts, allowMissingColumns=True).groupBy(*group, id_col, *order, "_at").agg(
-        F.max("_point").alias("_point"), F.max("_query").alias("_query"),
-        *[F.max(f"_p_{n}").alias(f"_p_{n}") for n in values])
-    ranked = dense_sequence(members, group, order, chunk, "_rank")
-    sizes = members.groupBy(*group).agg(F.ceil(F.log2(F.count(F.lit(1)))).cast("int").alias("_levels"))
-    leveled = ranked.join(sizes, group).filter("_levels > 0") \
-        .withColumn("_level", F.explode(F.sequence(F.lit(0), F.col("_levels") - 1)))
+    members = rows.select(
+        *keys, id_col, *order, F.col(position).alias("_at"), F.coalesce(point, F.lit(False)).alias("_point"),
+        bucket.alias("_own"), *[c.alias(f"_p_{n}") for n, c in values.items()]) \
+        .withColumn("_bucket", F.explode(F.when(F.col("_point"), F.array("_own", F.col("_own") + 1))
+                                         .otherwise(F.array("_own"))))
+    whole, arrived = Window.partitionBy(*group), F.struct(*order)
+    ranked = members.select(
+        "*", (F.row_number().over(whole.orderBy(*order)) - 1).cast("bigint").alias("_rank"),
+        F.count(F.lit(1)).over(whole).alias("_n"), F.min(F.when(F.col("_point"), F.col("_at"))).over(whole).alias("_from"),
+        F.max(F.when(F.col("_point"), arrived)).over(whole).alias("_last"))
+    asks = (F.col("_bucket") == F.col("_own")) & (F.col("_at") >= F.col("_from")) & (arrived < F.col("_last"))
+    levels = F.sequence(F.lit(0), F.ceil(F.log2("_n")).cast("int") - 1)
+    leveled = ranked.withColumn("_query", asks).filter("_n > 1 and (_point or _query)") \
+        .withColumn("_level", F.explode(levels))
     right = F.expr("getbit(_rank, _level)") == 1
-    entries = F.when(right & F.col("_point"), F.array(F.struct(F.lit(0).alias("_sign"), F.col("_at").alias("_where")))) \
-        .when(~right & F.col("_query"), F.array(
-            F.struct(F.lit(1).alias("_sign"), F.col("_at").alias("_where")),
-            F.struct(F.lit(-1).alias("_sign"), (F.col("_at") - width - 1).alias("_where"))))
-    rows = leveled.withColumn("_pair", F.expr("shiftright(_rank, _level + 1)")) \
-        .withColumn("_entry", F.explode(entries)).select(
-            *group, "_level", "_pair", id_col, "_entry._sign", "_entry._where",
-            *[F.when(F.col("_entry._sign") == 0, F.col(f"_p_{n}")).alias(f"_p_{n}") for n in values])
-    sums = running_sums(rows, [*group, "_level", "_pair"], "_where", step, {f"_s_{n}": F.col(f"_p_{n}") for n in values})
+    entry = lambda sign, at: F.struct(F.lit(sign).alias("_sign"), at.alias("_where"))
+    entries = F.when(right & F.col("_point"), F.array(entry(0, F.col("_at")))) \
+        .when(~right & F.col("_query"), F.array(entry(1, F.col("_at")), entry(-1, F.col("_at") - width - 1)))
+    placed = leveled.withColumn("_pair", F.expr("shiftright(_rank, _level + 1)")) \
+        .withColumn("_e", F.explode(entries)).select("*", "_e.*")
+    upto = Window.partitionBy(*group, "_level", "_pair").orderBy("_where").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    sums = placed.select(id_col, "_sign", *[
+        F.sum(F.when(F.col("_sign") == 0, F.col(f"_p_{n}"))).over(upto).alias(f"_s_{n}") for n in values])
     return sums.filter("_sign <> 0").groupBy(id_col).agg(
         *[F.sum(F.when(F.col("_sign") == 1, F.col(f"_s_{n}")).otherwise(-F.col(f"_s_{n}"))).alias(n) for n in values])

@@ -195,6 +195,14 @@ def minute_trend(c):
     return Q.minute_trend(c.events)
 
 
+@register("last_trend")
+def last_trend(c):
+    """Q13: the trend's last bucket, a dashboard tile."""
+    from fleetline.plans import queries as Q
+    from pyspark.sql import functions as F
+    return Q.minute_trend(c.events).orderBy(F.desc("bucket")).limit(1)
+
+
 @register("latest_seen_devices")
 def latest_seen_devices(c):
     from fleetline.plans import queries as Q
@@ -401,8 +409,7 @@ def contract_conformance(c):
 def raw_deliveries(c):
     """The raw log as the stream source delivers it."""
     from pyspark.sql import functions as F
-    return c.deliveries.select(F.col("key").cast("string").alias("key"), "topic", "partition", "offset",
-                               "timestamp", F.length("value").alias("value_bytes"))
+    return c.deliveries.select(F.col("key").cast("string").alias("key"), "topic", "partition", "offset", "timestamp")
 
 
 @register("envelope_build")

@@ -69,8 +69,8 @@ def reversed_backlog(spark, n):
 
 def banded(spark, n):
     rows = reversed_backlog(spark, n)
-    return later_in_band(rows, rows, ["device_id"], "event_id", ["o"], F.expr("o div 1024"), "at", E.WINDOW_US,
-                         E.SUB_BUCKET_US, {"total": F.col("v"), "n": F.lit(1)})
+    return later_in_band(rows, F.lit(True), ["device_id"], "event_id", ["o"], "at", E.WINDOW_US,
+                         {"total": F.col("v"), "n": F.lit(1)})
 
 
 def test_reversed_backlog_grows_near_linearly(spark):
