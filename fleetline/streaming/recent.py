@@ -182,13 +182,14 @@ def start(spark: SparkSession, source: str, store: RecentStore, checkpoint: str,
 
 
 def run_until_idle(query, seconds: float = 600.0) -> None:
-    """Let a stream work through what its source has, then stop it: the first
-    batch without input after the start comes when nothing is left."""
+    """Let a stream work through what its source has, then stop it: a batch
+    without input comes when nothing is left.  The first batch after a start
+    does not count, as it may repeat one that was not committed."""
     end = time.monotonic() + seconds
     try:
         while query.isActive and time.monotonic() < end:
-            last = query.lastProgress
-            if last is not None and last.numInputRows == 0:
+            done = query.recentProgress
+            if len(done) > 1 and done[-1].numInputRows == 0:
                 return
             time.sleep(0.2)
         if query.isActive:
