@@ -53,6 +53,7 @@ DEPTH = 8
 BUCKET_ROWS = 20_000
 CACHE_STRINGS = 500_000
 CACHE_CHARS = 64
+LEARN_STRINGS = 2000
 
 
 class Encoder:
@@ -69,19 +70,34 @@ class Encoder:
         self.known, self.older = {"": b""}, {}
 
     def learn(self, strings: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
-        return {s: np.asarray(e.ids, "<u4").tobytes() for s, e in zip(strings, found)}
+        """Ids of strings, tokenised as one text of them with blanks between:
+        a token belongs to the string its first character lies in."""
+        out: dict[str, bytes] = {}
+        for at in range(0, len(strings), LEARN_STRINGS):
+            part = strings[at:at + LEARN_STRINGS]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            begins = np.fromiter((begin for begin, _ in found.offsets), np.int64, len(found))
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            cuts = (4 * np.searchsorted(begins, ends)).tolist()
+            ids, before = np.asarray(found.ids, "<u4").tobytes(), 0
+            for string, cut in zip(part, cuts):
+                out[string] = ids[before:cut]
+                before = cut
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         missing = set().union(*parts).difference(self.known)
         back = missing.intersection(self.older)
         self.known.update((s, self.older[s]) for s in back)
-        self.known.update(self.learn(list(missing - back)))
+        # The vocabulary is in lower case: two spellings of ASCII strings have the same ids.
+        lower = {s: s.lower() if s.isascii() else s for s in missing - back}
+        self.known.update(self.learn(list(set(lower.values()).difference(self.known))))
+        self.known.update((s, self.known[name]) for s, name in lower.items())
         out = [b"".join(map(self.known.__getitem__, p)) for p in parts]
-        for s in missing:
+        for s in missing.union(lower.values()):
             if len(s) > CACHE_CHARS:
-                del self.known[s]
+                self.known.pop(s, None)
         if len(self.known) > CACHE_STRINGS:
             self.older, self.known = self.known, {"": b""}
         return out
