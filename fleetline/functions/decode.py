@@ -6,7 +6,7 @@ the JVM inside whole-stage codegen; no Python per record.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INVALID_JSON_PREFIX = "invalid JSON: "
@@ -24,6 +24,12 @@ def parse_message(value: Column) -> Column:
     return F.when(F.call_function("is_valid_utf8", text), F.try_parse_json(text))
 
 
+def is_object(value: Column, parsed: Column) -> Column:
+    """Whether well-formed JSON is an object, by its first character after
+    white space: the type of a whole message as text costs more than parsing it."""
+    return parsed.isNotNull() & message_text(value).rlike(r"^[ \t\r\n]*\{")
+
+
 def base64_text(value: Column) -> Column:
     """Base64 without the MIME line breaks Spark inserts in long values."""
     return F.regexp_replace(F.base64(value), r"[\r\n]", "")
@@ -36,7 +42,7 @@ def decode_failure(value: Column, parsed: Column) -> Column:
                    F.concat(F.lit(INVALID_JSON_PREFIX),
                             F.when(~utf8, F.lit("bytes are not valid UTF-8"))
                             .otherwise(F.lit("document is not well-formed JSON"))))
-            .when(~F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(NOT_OBJECT_REASON)))
+            .when(~is_object(value, parsed), F.lit(NOT_OBJECT_REASON)))
 
 
 def decode_payload(value: Column, parsed: Column) -> Column:
@@ -50,21 +56,23 @@ def version_field(parsed: Column) -> Column:
     return F.try_variant_get(parsed, "$.schema_version", "variant")
 
 
-def version_number(parsed: Column) -> Column:
+def version_number(parsed: Column, raw: Column | None = None, kind: Column | None = None) -> Column:
     """Numeric schema version: 0 when the key is missing, NULL when it is not a
-    number (JSON null, string, boolean, ...)."""
-    raw = version_field(parsed)
-    kind = F.schema_of_variant(raw)
+    number (JSON null, string, boolean, ...).  ``raw`` and ``kind``: columns that
+    hold the version field and its type already."""
+    raw = version_field(parsed) if raw is None else raw
+    kind = F.schema_of_variant(raw) if kind is None else kind
     numeric = kind.rlike(r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$")
     return (F.when(raw.isNull(), F.lit(0.0))
             .when(numeric, F.try_variant_get(raw, "$", "double")))
 
 
-def version_failure(parsed: Column) -> Column:
+def version_failure(parsed: Column, raw: Column | None = None, kind: Column | None = None,
+                    number: Column | None = None) -> Column:
     """Reason for an unsupported version, else NULL (0 upcasts, 1 passes)."""
-    raw = version_field(parsed)
-    number = version_number(parsed)
-    kind = F.schema_of_variant(raw)
+    raw = version_field(parsed) if raw is None else raw
+    kind = F.schema_of_variant(raw) if kind is None else kind
+    number = version_number(parsed, raw, kind) if number is None else number
     text = (F.when(F.is_variant_null(raw), F.lit("None"))
             .when(kind == "STRING",
                   F.concat(F.lit("'"), F.try_variant_get(raw, "$", "string"), F.lit("'")))
@@ -75,6 +83,13 @@ def version_failure(parsed: Column) -> Column:
     return F.when(~supported, F.concat(F.lit(UNSUPPORTED_VERSION_PREFIX), text))
 
 
+def with_version(df: DataFrame, parsed: str = "_v") -> DataFrame:
+    """Adds ``_raw``, ``_vkind`` and ``_ver``: the version field, its type and
+    its number, each read once."""
+    raw = df.withColumn("_raw", version_field(F.col(parsed))).withColumn("_vkind", F.schema_of_variant("_raw"))
+    return raw.withColumn("_ver", version_number(F.col(parsed), F.col("_raw"), F.col("_vkind")))
+
+
 def is_upcast(parsed: Column) -> Column:
     """True when a version-0 envelope is normalised to version 1 (schema id 0)."""
     return version_number(parsed) == 0.0

@@ -55,7 +55,11 @@ def extract_fields(df: DataFrame, parsed: str = "_v", event_path: str = "$.event
         return p if not p.startswith("$.event") else event_path + p[len("$.event"):]
     fields = df.select("*", *[F.try_variant_get(F.col(parsed), path_of(path), "variant").alias(_slot(n))
                               for n, path in FIELDS.items()])
-    return fields.select("*", *[F.schema_of_variant(_slot(n)).alias(_kind(n)) for n in FIELDS])
+    # Of the event only that it is an object matters: its whole type is long.
+    is_object = F.try_variant_get(F.col(_slot("event")), "$", "map<string,variant>").isNotNull()
+    kinds = {n: F.schema_of_variant(_slot(n)) for n in FIELDS}
+    kinds["event"] = F.when(is_object, F.lit("OBJECT")).otherwise(kinds["event"])
+    return fields.select("*", *[kind.alias(_kind(n)) for n, kind in kinds.items()])
 
 
 def _missing(name: str) -> Column:
@@ -202,8 +206,8 @@ def contract_violations(parsed: Column, version: Column) -> Column:
     no number written as a string (or null).  ``version`` is the *declared*
     version (0 when absent); reads the columns of :func:`extract_fields`.
     """
-    keys = F.json_object_keys(F.to_json(parsed))
-    event_keys = F.json_object_keys(F.to_json(F.try_variant_get(parsed, "$.event", "variant")))
+    keys = F.map_keys(F.try_variant_get(parsed, "$", "map<string,variant>"))
+    event_keys = F.map_keys(F.try_variant_get(parsed, "$.event", "map<string,variant>"))
     allowed = F.when(version == 0, F.array(*[F.lit(k) for k in ENVELOPE_KEYS_V0])) \
         .otherwise(F.array(*[F.lit(k) for k in ENVELOPE_KEYS_V1]))
     extra = F.array_except(keys, allowed)

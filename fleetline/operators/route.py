@@ -34,13 +34,14 @@ def route(deliveries: DataFrame, processing_time: Callable[[DataFrame], Column]
         decode.parse_message(F.col("value")).alias("_v"),
     )
     v = F.col("_v")
-    staged = parsed.select(
+    staged = decode.with_version(parsed.select(
         "*",
         decode.decode_failure(F.col("value"), v).alias("_decode"),
-    ).select(
+    )).select(
         "*",
-        F.when(F.col("_decode").isNull(), decode.version_failure(v)).alias("_version"),
-        F.when(F.col("_decode").isNull(), decode.is_upcast(v)).alias("_upcast"),
+        F.when(F.col("_decode").isNull(), decode.version_failure(v, F.col("_raw"), F.col("_vkind"), F.col("_ver")))
+        .alias("_version"),
+        F.when(F.col("_decode").isNull(), F.col("_ver") == 0.0).alias("_upcast"),
     )
     upcast = F.coalesce(F.col("_upcast"), F.lit(False))
     typed = validate.typed_fields(validate.extract_fields(staged, "_v"))

@@ -15,11 +15,12 @@ def conformance(deliveries: DataFrame) -> DataFrame:
     keys outside the contract, numbers as JSON numbers and, for v1, a
     ``schema_id`` of at least 1 if there is one (the contract leaves it out).
     """
-    parsed = deliveries.select(decode.parse_message(F.col("value")).alias("_v"))
+    parsed = deliveries.select("value", decode.parse_message(F.col("value")).alias("_v"))
     v = F.col("_v")
-    obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    staged = parsed.select("_v", obj.alias("_obj"), decode.version_number(v).alias("_ver"),
-                           decode.version_failure(v).alias("_vfail"))
+    obj = F.coalesce(decode.is_object(F.col("value"), v), F.lit(False))
+    staged = decode.with_version(parsed.select("_v", obj.alias("_obj"))).select(
+        "_v", "_obj", "_ver",
+        decode.version_failure(v, F.col("_raw"), F.col("_vkind"), F.col("_ver")).alias("_vfail"))
     typed = validate.typed_fields(validate.extract_fields(staged, "_v"))
     upcast = F.col("_ver") == 0
     ok = (F.col("_obj") & F.col("_vfail").isNull()
