@@ -9,7 +9,7 @@ history), and their history feeds the enrichment of the new events.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +19,52 @@ from fleetline.operators import route as R
 from fleetline.operators import state as S
 
 
-@dataclass
+Materialize = Callable[[DataFrame, str], DataFrame]
+
+
 class IngestResult:
-    routed: DataFrame          # every delivery with its outcome
-    valid: DataFrame           # valid deliveries (duplicates included)
-    events: DataFrame          # enriched stored events (first delivery per id)
-    dead_letters: DataFrame    # one row per failed delivery coordinate
-    device_status: DataFrame
-    ledger: DataFrame
+    """The tables of one ingest run, each built when it is first asked for: a
+    query of outcomes does not pay for the enrichment of the stored events."""
+
+    def __init__(self, deliveries: DataFrame, processing_time: Callable[[DataFrame], Column] | None,
+                 batch_id: int, materialize: Materialize):
+        self._deliveries, self._processing_time = deliveries, processing_time
+        self._batch_id, self._materialize = batch_id, materialize
+
+    @cached_property
+    def routed(self) -> DataFrame:
+        """Every delivery with its outcome."""
+        return self._materialize(R.route(self._deliveries, self._processing_time), "routed")
+
+    @cached_property
+    def valid(self) -> DataFrame:
+        """Valid deliveries (duplicates included)."""
+        return R.valid_deliveries(self.routed)
+
+    @cached_property
+    def stored(self) -> DataFrame:
+        """First delivery per id, not enriched."""
+        return self._materialize(E.first_arrivals(self.valid), "stored")
+
+    @cached_property
+    def events(self) -> DataFrame:
+        """The stored events, enriched: a row for each row of ``stored``."""
+        return self._materialize(
+            E.enrich(self.stored).withColumn("batch_id", F.lit(self._batch_id).cast("bigint"))
+            .withColumn("event_date", F.to_date("timestamp")), "events")
+
+    @cached_property
+    def dead_letters(self) -> DataFrame:
+        """One row per failed delivery coordinate."""
+        return dead_letter_rows(R.failed_deliveries(self.routed))
+
+    @cached_property
+    def device_status(self) -> DataFrame:
+        return S.device_status(self.events)
+
+    @cached_property
+    def ledger(self) -> DataFrame:
+        return S.ledger_rows(self.events)
 
 
 def dead_letter_rows(failed: DataFrame) -> DataFrame:
@@ -44,9 +82,6 @@ def dead_letter_rows(failed: DataFrame) -> DataFrame:
     )
 
 
-Materialize = Callable[[DataFrame, str], DataFrame]
-
-
 def lazy(df: DataFrame, _name: str) -> DataFrame:
     return df
 
@@ -56,20 +91,7 @@ def ingest(deliveries: DataFrame, processing_time: Callable[[DataFrame], Column]
     """One ingest run.  ``materialize(df, name)`` is called on the frames that
     are read more than once (``routed``, ``stored``, ``events``): a job passes
     a writer to its table folder (or ``checkpoint``), a micro-batch ``persist``."""
-    routed = materialize(R.route(deliveries, processing_time), "routed")
-    valid = R.valid_deliveries(routed)
-    stored = materialize(E.first_arrivals(valid), "stored")
-    events = materialize(
-        E.enrich(stored).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .withColumn("event_date", F.to_date("timestamp")), "events")
-    return IngestResult(
-        routed=routed,
-        valid=valid,
-        events=events,
-        dead_letters=dead_letter_rows(R.failed_deliveries(routed)),
-        device_status=S.device_status(events),
-        ledger=S.ledger_rows(events),
-    )
+    return IngestResult(deliveries, processing_time, batch_id, materialize)
 
 
 def incremental_store(valid_batch: DataFrame, store: DataFrame | None, batch_id: int) -> DataFrame:
