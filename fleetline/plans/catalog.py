@@ -57,6 +57,12 @@ class FixtureCatalog:
     def events(self) -> DataFrame:
         return self.ingest.events
 
+    @property
+    def stored(self) -> DataFrame:
+        """The stored events without their enrichment: same rows, for queries
+        that read no enriched column."""
+        return self.ingest.stored
+
     @property
     def status(self) -> DataFrame:
         return self.ingest.device_status
@@ -86,6 +92,13 @@ class FixtureCatalog:
         """Ledger with ``published_at`` (NULL = pending)."""
         return S.ledger_with_acks(self.ingest.ledger, self.acks)
 
+    @property
+    def ledger_times(self) -> DataFrame:
+        """The ledger's (event_id, created_at, published_at): the same rows,
+        without the payload and so without the enrichment it is made of."""
+        times = S.ledger_times(self.stored)
+        return S.ledger_with_acks(times, fixture.fixture_acks(times))
+
 
 def catalog(spark: SparkSession, sf_dir: str) -> FixtureCatalog:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
