@@ -141,13 +141,45 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, schedules=SCHEDULES
         *unpacked(docs.columns, NEW))
 
 
+def _stream(placed: DataFrame, schedules) -> DataFrame:
+    """A row per copy with its ``copy`` number and position, and one with
+    neither for a document that the mix leaves out."""
+    numbers = F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies").cast("int") - 1))
+    copies = placed.withColumn("copy", F.explode_outer(numbers))
+    return copies.withColumn("position", position(F.col("copy"), schedules))
+
+
 def schedule(docs: DataFrame, weights: Sequence[float] = WEIGHTS, schedules=SCHEDULES,
              demand: float = DEMAND, cap: int = REPEAT_CAP, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """The training stream: a row per copy, range-sorted by its position."""
-    placed = _placed(docs, weights, schedules, demand, cap, bucket_rows)
-    copies = placed.filter("copies > 0").withColumn(
-        "copy", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)))
-    copies = copies.withColumn("position", position(F.col("copy"), schedules))
+    copies = _stream(_placed(docs, weights, schedules, demand, cap, bucket_rows).filter("copies > 0"), schedules)
     return (copies.select(*unpacked(docs.columns, [*NEW, "copy"]))
             .repartitionByRange("position", "doc_id", "copy")
             .sortWithinPartitions("position", "doc_id", "copy"))
+
+
+def training_order(docs: DataFrame, weights: Sequence[float] = WEIGHTS, schedules=SCHEDULES,
+                   demand: float = DEMAND, cap: int = REPEAT_CAP, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The training stream without texts: every copy (its document's numbers,
+    ``copy``, ``position``), range-sorted by position, and after them the
+    documents that the mix leaves out (null copy and position)."""
+    placed = _placed(docs, weights, schedules, demand, cap, bucket_rows).select(
+        F.col("_id").alias("doc_id"), "size", "source_size", "target", "copies", "turn", "_before")
+    stream = materialize(_stream(placed, schedules), "mix-stream")       # read twice: for the ranges, to sort
+    return materialize(stream.withColumn("_last", F.col("position").isNull())
+                       .repartitionByRange("_last", "position", "doc_id", "copy")
+                       .sortWithinPartitions("_last", "position", "doc_id", "copy"), "mix-order")
+
+
+def folded(stream: DataFrame) -> DataFrame:
+    """A row per document of :func:`training_order`, from its copies there: the
+    words it takes, the first copy's position and all positions.
+
+    ``turn`` and ``_before``, its words' place in the source's stream, name a
+    document that has words; those without are counted, as equal rows are alike."""
+    keys = ["turn", "_before", "doc_id", "size", "source_size", "target"]
+    per = stream.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(F.col("copy").isNotNull(), F.col("size"))), F.lit(0)).cast("long").alias("taken"),
+        F.min("position").alias("position"), F.array_sort(F.collect_list("position")).alias("positions"),
+        F.when(F.col("size") > 0, 1).otherwise(F.count(F.lit(1))).cast("int").alias("_rows"))
+    return per.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("_rows")))).drop("_rows", "_row")

@@ -37,7 +37,8 @@ def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "position")
+    return mixing.folded(mixing.training_order(docs)).select(
+        "doc_id", "size", "source_size", "target", "taken", "position")
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
