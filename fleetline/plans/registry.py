@@ -106,7 +106,7 @@ def recent_50_stream(c):
     from fleetline.streaming.recent import replayed
     from pyspark.sql import functions as F
     thirds = [(None, 2), (2, 4), (4, None)]            # hours after the fixture's start
-    return replayed(c.spark, c.deliveries, F.timestamp_micros(F.lit(BASE_US)), thirds, "INTERVAL {} HOURS", partitions=4).select(
+    return replayed(c.spark, c.deliveries, F.timestamp_micros(F.lit(BASE_US)), thirds, "INTERVAL {} HOURS").select(
         "device_id", "event_id", "position")
 
 
@@ -483,13 +483,13 @@ def pipeline_counters(c):
 @register("latency_histogram")
 def latency_histogram(c):
     from fleetline.plans import slo
-    return slo.latency_histogram(c.events).select("le", "count")
+    return slo.latency_histogram(c.stored).select("le", "count")
 
 
 @register("latency_quantile")
 def latency_quantile(c):
     from fleetline.plans import slo
-    h = slo.latency_histogram(c.events)
+    h = slo.latency_histogram(c.stored)
     return slo.histogram_quantile(h, 0.5).unionByName(slo.histogram_quantile(h, 0.95)) \
         .unionByName(slo.histogram_quantile(h, 0.99))
 
@@ -497,13 +497,13 @@ def latency_quantile(c):
 @register("event_rate")
 def event_rate(c):
     from fleetline.plans import slo
-    return slo.event_rate(c.events)
+    return slo.event_rate(c.stored)
 
 
 @register("dlq_ratio")
 def dlq_ratio(c):
     from fleetline.plans import slo
-    return slo.dlq_ratio(c.events, c.dead_letters)
+    return slo.dlq_ratio(c.stored, c.dead_letters)
 
 
 @register("alert_states")
@@ -514,9 +514,9 @@ def alert_states(c):
     from fleetline.plans import slo
     from fleetline.sources.fixture import BASE_US
     from pyspark.sql import functions as F
-    grid = slo.minute_grid(F.timestamp_micros(F.lit(BASE_US)), c.params.now, c.events)
-    samples = slo.dlq_ratio_samples(c.events, c.dead_letters, grid).unionByName(
-        slo.oldest_pending_samples(c.ledger, grid))
+    grid = slo.minute_grid(F.timestamp_micros(F.lit(BASE_US)), c.params.now, c.stored)
+    samples = slo.dlq_ratio_samples(c.stored, c.dead_letters, grid).unionByName(
+        slo.oldest_pending_samples(c.ledger_times, grid))
     rules = [(name, metric, op, thr, hold) for name, metric, _agg, op, thr, hold in ALERT_RULES
              if metric in ("dead_letter_ratio", "outbox_oldest_pending_seconds")]
     return slo.alert_states(samples, rules)
@@ -530,13 +530,13 @@ def alert_rules(c):
     from fleetline.plans import slo
     from fleetline.sources import fixture
     from pyspark.sql import functions as F
-    grid = slo.minute_grid(F.timestamp_micros(F.lit(fixture.BASE_US)), c.params.now, c.events)
+    grid = slo.minute_grid(F.timestamp_micros(F.lit(fixture.BASE_US)), c.params.now, c.stored)
     lag = slo.lag_samples(fixture.stalled(c.ingest.routed), grid).select(
         F.lit("queue_lag").alias("metric"), "ts", F.col("lag").cast("double").alias("value"))
     restart = F.lit(fixture.BASE_US // 60000000 + fixture.NOT_READY_MINUTES[0])
-    samples = slo.dlq_ratio_samples(c.events, c.dead_letters, grid)
-    for more in (slo.oldest_pending_samples(c.ledger, grid), lag, fixture.readiness_samples(c.ingest.routed),
-                 slo.persistence_p99(slo.bucket_counters(c.events, grid, restart))):
+    samples = slo.dlq_ratio_samples(c.stored, c.dead_letters, grid)
+    for more in (slo.oldest_pending_samples(c.ledger_times, grid), lag, fixture.readiness_samples(c.ingest.routed),
+                 slo.persistence_p99(slo.bucket_counters(c.stored, grid, restart))):
         samples = samples.unionByName(more)
     rules = [(name, metric, agg, op, fixture.LAG_THRESHOLD if metric == "queue_lag" else threshold, hold)
              for name, metric, agg, op, threshold, hold in ALERT_RULES]
@@ -625,5 +625,5 @@ def lag_gauge(c):
     from fleetline.plans import slo
     from fleetline.sources.fixture import BASE_US
     from pyspark.sql import functions as F
-    grid = slo.minute_grid(F.timestamp_micros(F.lit(BASE_US)), c.params.now, c.events)
+    grid = slo.minute_grid(F.timestamp_micros(F.lit(BASE_US)), c.params.now, c.ingest.routed)
     return slo.lag_gauge(c.ingest.routed, grid)

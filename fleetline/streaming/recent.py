@@ -1,12 +1,19 @@
 """Recent lists and latest values as keyed stream state.
 
-Two stateful operators (``transformWithState``, RocksDB) over the raw log:
-
-* by event id: the first valid delivery of an id is its stored row and stays
-  (:class:`FirstWins`); every delivery emits a touch of that row;
+Two stateful queries (RocksDB) over the raw log, the second one fed by the
+files of the first one's batches, as an aggregation that updates its rows ends
+a query:
+
+* by event id (:func:`touched`): the first valid delivery of an id is its
+  stored row and stays; a batch emits a touch of that row for every id that it
+  delivers.  A streaming aggregation in the JVM: the least row by (batch's
+  instant, place in the log), so an earlier batch wins whatever its offsets.
+  With ``id_ttl_days`` :class:`FirstWins` holds the rows instead, as an
+  aggregation without event time cannot forget a key;
 * by device: the list of the newest ``RECENT_LIST_SIZE`` touched rows
   (:class:`RecentList`).  A touch moves its row to the front and renews the
-  list's 24 hours; a timer clears the list when they are over.
+  list's 24 hours; a timer (``transformWithState``) clears the list when they
+  are over.
 
 Both see a batch's rows of a key in log order.  After a batch every device
 that was touched (or has expired) emits its list; the sink keeps the newest
@@ -26,6 +33,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from threading import Timer
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -36,13 +44,14 @@ from fleetline.operators import route as R
 from fleetline.session import checkpoint_dir
 from fleetline.streaming.job import raw_stream
 from fleetline.tables.bucketed import Bucketed
-from fleetline.tables.manifest import Change, Manifest
+from fleetline.tables.manifest import Change, Files, Manifest
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 24 * 3600 * 1000
 ROW = "event_id string, device_id string, timestamp timestamp, temperature double, voltage double"
 PLACE = "source_partition int, source_offset bigint, arrival_ts timestamp"
 TOUCH = f"{ROW}, {PLACE}"
+TOUCHES = f"batch bigint, {TOUCH}"
 ENTRY = "event_id string, timestamp timestamp, temperature double, voltage double, arrival_ts timestamp"
 LIST = f"device_id string, position int, {ENTRY}"
 STORED = [c.split()[0] for c in ROW.split(", ")]
@@ -89,7 +98,7 @@ class RecentList(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         entries = [tuple(e) for e in self.entries.get()]
-        for row in in_log_order(rows):
+        for row in sorted(rows, key=lambda r: (r["batch"], *(r[c] for c in PLACES))):
             entries = [e for e in entries if e[0] != row["event_id"]]
             entries.insert(0, tuple(row[c] for c in ENTRIES))
         entries = entries[:self.size]
@@ -112,12 +121,24 @@ class RecentList(StatefulProcessor):
         pass
 
 
-def recent_lists(valid: DataFrame, size: int = RECENT_LIST_SIZE, ttl_ms: int = CACHE_TTL_SECONDS * 1000,
-                 id_ttl_days: int | None = None) -> DataFrame:
+def touched(valid: DataFrame, id_ttl_days: int | None = None) -> DataFrame:
+    """Streaming frame (update mode): per id delivered in a batch its stored
+    row with the place of its last delivery."""
+    rows = valid.select(*STORED, *PLACES)
+    if id_ttl_days is not None:
+        return rows.groupBy("event_id").transformWithState(
+            FirstWins(id_ttl_days * DAY_MS), TOUCH, "Update", "ProcessingTime")
+    rest = [c for c in STORED if c != "event_id"]
+    seen = rows.withColumn("_seen", F.current_timestamp())                  # the batch's instant
+    return seen.groupBy("event_id").agg(
+        F.min(F.struct("_seen", *PLACES, *rest)).alias("_first"), F.max(F.struct("_seen", *PLACES)).alias("_last")) \
+        .select("event_id", *[F.col(f"_first.{c}").alias(c) for c in rest],
+                *[F.col(f"_last.{c}").alias(c) for c in PLACES]).select(*STORED, *PLACES)
+
+
+def recent_lists(touches: DataFrame, size: int = RECENT_LIST_SIZE, ttl_ms: int = CACHE_TTL_SECONDS * 1000) -> DataFrame:
     """Streaming frame of changed lists; position 0 marks an expired one."""
-    touched = valid.select(*STORED, *PLACES).groupBy("event_id").transformWithState(
-        FirstWins(None if id_ttl_days is None else id_ttl_days * DAY_MS), TOUCH, "Append", "ProcessingTime")
-    return touched.groupBy("device_id").transformWithState(RecentList(size, ttl_ms), LIST, "Append", "ProcessingTime")
+    return touches.groupBy("device_id").transformWithState(RecentList(size, ttl_ms), LIST, "Append", "ProcessingTime")
 
 
 def newest_list(rows: DataFrame) -> DataFrame:
@@ -166,47 +187,104 @@ class RecentStore:
             .filter("position > 0")
 
 
+def note_touches(folder: str) -> Callable[[DataFrame, int], None]:
+    """Writes a batch's touches to a folder of its own; once per batch.  A
+    write that broke off is done again: the same touches twice change no list."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        files = Files(batch.sparkSession, folder)
+        if not files.exists(f"{batch_id:012d}/_SUCCESS"):
+            batch.select(F.lit(batch_id).cast("bigint").alias("batch"), *STORED, *PLACES) \
+                .write.mode("overwrite").parquet(f"{folder}/{batch_id:012d}")
+    return write
+
+
+class RecentQuery:
+    """The two streaming queries as one: first ids, then lists."""
+
+    def __init__(self, ids, lists, timed: bool = False):
+        self.ids, self.lists, self.timed = ids, lists, timed          # timed: ids ask for a batch at every trigger
+
+    @property
+    def isActive(self) -> bool:
+        return self.ids.isActive and self.lists.isActive
+
+    def stop(self) -> None:
+        self.ids.stop()
+        self.lists.stop()
+
+    def exception(self):
+        return self.ids.exception() or self.lists.exception()
+
+
 def start(spark: SparkSession, source: str, store: RecentStore, checkpoint: str, *, kafka_servers: str | None = None,
           max_per_trigger: int | None = None, processing_time: Callable[[DataFrame], Column] | None = None,
-          interval: str = "1 second", ttl_ms: int = CACHE_TTL_SECONDS * 1000, id_ttl_days: int | None = None):
-    """Start the stream of recent lists; returns the ``StreamingQuery``.
+          interval: str = "1 second", ttl_ms: int = CACHE_TTL_SECONDS * 1000,
+          id_ttl_days: int | None = None) -> RecentQuery:
+    """Start the stream of recent lists.
 
     It runs until stopped: state with processing-time timers asks for a batch
     at every trigger, so an ``availableNow`` run of it would never end
     (:func:`run_until_idle` takes its place)."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    folder = f"{store.root.rstrip('/')}/_touches"
+    files = Files(spark, folder)
+    files.fs.mkdirs(files._path(""))
     stream = raw_stream(spark, source, kafka_servers=kafka_servers, max_per_trigger=max_per_trigger)
-    lists = recent_lists(R.valid_deliveries(R.route(stream, processing_time)), ttl_ms=ttl_ms, id_ttl_days=id_ttl_days)
-    return (lists.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
-            .foreachBatch(store.add).trigger(processingTime=interval).start())
-
-
-def run_until_idle(query, seconds: float = 600.0) -> None:
-    """Let a stream work through what its source has, then stop it: a batch
-    without input comes when nothing is left.  The first batch after a start
-    does not count, as it may repeat one that was not committed."""
-    end = time.monotonic() + seconds
+    ids = (touched(R.valid_deliveries(R.route(stream, processing_time)), id_ttl_days).writeStream
+           .option("checkpointLocation", f"{checkpoint}/ids").outputMode("update")
+           .foreachBatch(note_touches(folder)).trigger(processingTime=interval).start())
+    touches = spark.readStream.schema(TOUCHES).option("recursiveFileLookup", "true") \
+        .option("ignoreMissingFiles", "true").option("cleanSource", "delete").parquet(folder)
+    lists = (recent_lists(touches, ttl_ms=ttl_ms).writeStream
+             .option("checkpointLocation", f"{checkpoint}/lists").outputMode("append")
+             .foreachBatch(store.add).trigger(processingTime=interval).start())
+    return RecentQuery(ids, lists, id_ttl_days is not None)
+
+
+def _progress(query) -> tuple[int, int, int]:
+    """(progress reports, last batch, its rows) of a streaming query."""
+    done = query.recentProgress
+    return (len(done), done[-1].batchId, done[-1].numInputRows) if done else (0, -1, -1)
+
+
+def run_until_idle(query: RecentQuery, seconds: float = 600.0) -> None:
+    """Let a stream work through what its source has, then stop it.  The ids
+    are through when no data is available to them; the lists when a batch
+    that began after that has no input.  The first batch after a start does
+    not count, as it may repeat one that was not committed."""
+    end, through = time.monotonic() + seconds, None
+    watch = Timer(seconds, query.ids.stop)                # processAllAvailable has no time limit
+    watch.start()
     try:
+        while query.timed and query.isActive and time.monotonic() < end:
+            reports, _, rows = _progress(query.ids)
+            if reports > 1 and rows == 0:
+                break
+            time.sleep(0.2)
+        if not query.timed:
+            query.ids.processAllAvailable()
         while query.isActive and time.monotonic() < end:
-            done = query.recentProgress
-            if len(done) > 1 and done[-1].numInputRows == 0:
+            reports, last, rows = _progress(query.lists)
+            through = last if through is None else through
+            if reports > 1 and last > through + 1 and rows == 0:
                 return
             time.sleep(0.2)
-        if query.isActive:
+        if query.exception() is None:
             raise TimeoutError(f"the stream was still at work after {seconds} s")
     finally:
+        watch.cancel()
         query.stop()
-    if query.exception() is not None:
-        raise query.exception()
+    raise query.exception()
 
 
 def replayed(spark: SparkSession, log: DataFrame, start_at: Column, slices, interval: str, files: int = 2,
-             partitions: int = 8) -> DataFrame:
+             partitions: int | None = None) -> DataFrame:
     """The lists after a log was streamed slice by slice (``slices`` of its
     append time, in ``interval`` units after ``start_at``), a micro-batch each.
 
     Everything lies under the shared checkpoint folder.  The number of state
-    partitions is fixed when a stream begins, so it is set for that moment."""
+    partitions is fixed when a stream begins, so it is set for that moment, by
+    default to the cluster's cores."""
     root = f"{checkpoint_dir(spark).rstrip('/')}/recent-{uuid.uuid4().hex}"
     for low, high in slices:
         part = log
@@ -217,7 +295,7 @@ def replayed(spark: SparkSession, log: DataFrame, start_at: Column, slices, inte
         part.repartition(files).write.mode("append").parquet(f"{root}/log")    # later files, later batches
     store, key = RecentStore(f"{root}/tables"), "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions))
+    spark.conf.set(key, str(partitions or spark.sparkContext.defaultParallelism))
     try:
         run_until_idle(start(spark, f"{root}/log", store, f"{root}/checkpoint", max_per_trigger=files,
                              interval="0 seconds"), 3600)
