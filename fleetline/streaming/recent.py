@@ -277,14 +277,17 @@ def run_until_idle(query: RecentQuery, seconds: float = 600.0) -> None:
     raise query.exception()
 
 
-def replayed(spark: SparkSession, log: DataFrame, start_at: Column, slices, interval: str, files: int = 2,
+def replayed(spark: SparkSession, log: DataFrame, start_at: Column, slices, interval: str, files: int | None = None,
              partitions: int | None = None) -> DataFrame:
     """The lists after a log was streamed slice by slice (``slices`` of its
     append time, in ``interval`` units after ``start_at``), a micro-batch each.
 
     Everything lies under the shared checkpoint folder.  The number of state
     partitions is fixed when a stream begins, so it is set for that moment, by
-    default to the cluster's cores."""
+    default to the cluster's cores; so are the files of a slice, as a batch is
+    decoded in a task per file."""
+    cores = spark.sparkContext.defaultParallelism
+    files, partitions = files or cores, partitions or cores
     root = f"{checkpoint_dir(spark).rstrip('/')}/recent-{uuid.uuid4().hex}"
     for low, high in slices:
         part = log
@@ -295,7 +298,7 @@ def replayed(spark: SparkSession, log: DataFrame, start_at: Column, slices, inte
         part.repartition(files).write.mode("append").parquet(f"{root}/log")    # later files, later batches
     store, key = RecentStore(f"{root}/tables"), "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions or spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, str(partitions))
     try:
         run_until_idle(start(spark, f"{root}/log", store, f"{root}/checkpoint", max_per_trigger=files,
                              interval="0 seconds"), 3600)
