@@ -69,6 +69,14 @@ def route(deliveries: DataFrame, processing_time: Callable[[DataFrame], Column]
     return routed.withColumn("processed_at", pt)
 
 
+def decided(routed: DataFrame) -> DataFrame:
+    """``routed`` with its outcome computed before it is filtered by.  For routed
+    frames that are not written first: the optimizer would push the filter
+    under the routing and repeat decoding in it for every field of every rule.
+    It leaves a filter above a column that counts as not deterministic."""
+    return routed.withColumn("reason", F.when(F.spark_partition_id() >= 0, F.col("reason")))
+
+
 def valid_deliveries(routed: DataFrame) -> DataFrame:
     return routed.filter(F.col("reason").isNull()).drop("reason", "payload", "errors")
 

@@ -15,6 +15,8 @@ a query:
   list's 24 hours; a timer (``transformWithState``) clears the list when they
   are over.
 
+A batch hands over its newest touches, one packed row per device, so the lists'
+Python state sees a device once per batch and never a part of its touches.
 Both see a batch's rows of a key in log order.  After a batch every device
 that was touched (or has expired) emits its list; the sink keeps the newest
 one of each device in a bucketed table, published batch by batch, so a
@@ -29,13 +31,15 @@ cache it stands for; ``read`` applies it to any instant asked.
 
 from __future__ import annotations
 
+import json
+import math
 import time
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from threading import Timer
+from threading import TIMEOUT_MAX, Timer
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -51,12 +55,14 @@ DAY_MS = 24 * 3600 * 1000
 ROW = "event_id string, device_id string, timestamp timestamp, temperature double, voltage double"
 PLACE = "source_partition int, source_offset bigint, arrival_ts timestamp"
 TOUCH = f"{ROW}, {PLACE}"
-TOUCHES = f"batch bigint, {TOUCH}"
 ENTRY = "event_id string, timestamp timestamp, temperature double, voltage double, arrival_ts timestamp"
 LIST = f"device_id string, position int, {ENTRY}"
+PACKED = "device_id string, entries string"         # entries: JSON, the newest first, times in microseconds
+TOUCHES = f"batch bigint, {PACKED}"
 STORED = [c.split()[0] for c in ROW.split(", ")]
 PLACES = [c.split()[0] for c in PLACE.split(", ")]
 ENTRIES = [c.split()[0] for c in ENTRY.split(", ")]
+TIMES = [c.split()[0] for c in ENTRY.split(", ") if c.endswith(" timestamp")]
 
 
 def in_log_order(rows: Iterator[Row]) -> list[Row]:
@@ -86,36 +92,48 @@ class FirstWins(StatefulProcessor):
 
 
 class RecentList(StatefulProcessor):
-    """Per device: its newest touched rows, the newest first."""
+    """Per device: its newest touched rows, the newest first.
+
+    Every call of the state and every value in Python costs far more than the
+    work on a list, so a list is one packed value, read and written once per
+    batch, and the timer is set once: if the list was renewed meanwhile, the
+    timer is set again when it fires."""
 
     def __init__(self, size: int = RECENT_LIST_SIZE, ttl_ms: int = CACHE_TTL_SECONDS * 1000):
         self.size, self.ttl_ms = size, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.entries = handle.getListState("entries", ENTRY)
-        self.expires = handle.getValueState("expires", "at bigint")
+        self.list = handle.getValueState("list", "expires bigint, timer bigint, entries string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        entries = [tuple(e) for e in self.entries.get()]
-        for row in sorted(rows, key=lambda r: (r["batch"], *(r[c] for c in PLACES))):
-            entries = [e for e in entries if e[0] != row["event_id"]]
-            entries.insert(0, tuple(row[c] for c in ENTRIES))
-        entries = entries[:self.size]
-        self.entries.put(entries)
+        held = self.list.get()
+        entries = [] if held is None else json.loads(held[2])
+        for row in sorted(rows, key=lambda r: r["batch"]):
+            touched = json.loads(row["entries"])
+            ids = {e["event_id"] for e in touched}
+            entries = (touched + [e for e in entries if e["event_id"] not in ids])[:self.size]
         at = timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms
-        if self.expires.exists():
-            self.handle.deleteTimer(self.expires.get()[0])
-        self.expires.update((at,))
-        self.handle.registerTimer(at)
-        for position, entry in enumerate(entries, 1):
-            yield Row("device_id", "position", *ENTRIES)(key[0], position, *entry)
+        timer = None if held is None else held[1]
+        if timer is None or at < timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(at)
+            timer = at
+        packed = json.dumps(entries, ensure_ascii=False)
+        self.list.update((at, timer, packed))
+        yield Row("device_id", "entries")(key[0], packed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.expires.exists() and self.expires.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
-            self.entries.clear()
-            self.expires.clear()
-            yield Row("device_id", "position", *ENTRIES)(key[0], 0, *[None] * len(ENTRIES))
+        held = self.list.get()
+        if held is None or held[1] != expiredTimerInfo.getExpiryTimeInMs():
+            return
+        if held[0] <= timerValues.getCurrentProcessingTimeInMs():
+            self.list.clear()
+            yield Row("device_id", "entries")(key[0], None)
+        else:
+            self.handle.registerTimer(held[0])
+            self.list.update((held[0], held[0], held[2]))
 
     def close(self) -> None:
         pass
@@ -136,9 +154,34 @@ def touched(valid: DataFrame, id_ttl_days: int | None = None) -> DataFrame:
                 *[F.col(f"_last.{c}").alias(c) for c in PLACES]).select(*STORED, *PLACES)
 
 
+def newest_touches(touches: DataFrame, size: int = RECENT_LIST_SIZE) -> DataFrame:
+    """(device_id, entries): the ``size`` last touched rows of every device in a
+    batch's touches.  The others can be in no list after the batch: the
+    list's rows were all touched after them.  Each task limits its own rows
+    before they are dealt by device, so a hot device is not sorted in one task."""
+    newest = Window.partitionBy("device_id").orderBy(*[F.col(c).desc() for c in (*PLACES, "event_id")])
+    ranked = touches.withColumn("position", F.row_number().over(newest)).filter(F.col("position") <= size)
+    entry = F.struct("position", *[F.unix_micros(c).alias(c) if c in TIMES else F.col(c) for c in ENTRIES])
+    lists = ranked.groupBy("device_id").agg(F.array_sort(F.collect_list(entry)).alias("_list"))      # at most ``size`` rows
+    return lists.select("device_id", F.to_json(
+        F.transform("_list", lambda e: F.struct(*[e[c].alias(c) for c in ENTRIES]))).alias("entries"))
+
+
+def unpacked(entries: Column) -> Column:
+    """A packed list as an array of (position, entry columns); position 0 marks
+    an expired one."""
+    kinds = dict(zip(ENTRIES, [c.split()[1] for c in ENTRY.split(", ")]))
+    packed = ", ".join(f"{c} {'bigint' if c in TIMES else kind}" for c, kind in kinds.items())
+    value = lambda e, c: F.timestamp_micros(e[c]) if c in TIMES else e[c]
+    lists = F.transform(F.from_json(entries, f"array<struct<{packed}>>"), lambda e, i: F.struct(
+        (i + 1).alias("position"), *[value(e, c).alias(c) for c in ENTRIES]))
+    expired = F.struct(F.lit(0).alias("position"), *[F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()])
+    return F.when(entries.isNull(), F.array(expired)).otherwise(lists)
+
+
 def recent_lists(touches: DataFrame, size: int = RECENT_LIST_SIZE, ttl_ms: int = CACHE_TTL_SECONDS * 1000) -> DataFrame:
-    """Streaming frame of changed lists; position 0 marks an expired one."""
-    return touches.groupBy("device_id").transformWithState(RecentList(size, ttl_ms), LIST, "Append", "ProcessingTime")
+    """Streaming frame of changed lists, packed; an expired one is null."""
+    return touches.groupBy("device_id").transformWithState(RecentList(size, ttl_ms), PACKED, "Append", "ProcessingTime")
 
 
 def newest_list(rows: DataFrame) -> DataFrame:
@@ -161,10 +204,9 @@ class RecentStore:
         if base.has(0, batch_id):
             return
         change = Change(table.manifest, base)
-        entry = F.struct("position", *ENTRIES)                    # at most 50 rows of a device
-        lists = changed.groupBy("device_id").agg(F.struct(
-            F.lit(batch_id).alias("batch"), F.array_sort(F.collect_list(entry)).alias("entries")).alias("_list"))
-        table.append(change, lists, 0, batch_id)
+        lists = changed.select("device_id", F.struct(
+            F.lit(batch_id).alias("batch"), unpacked(F.col("entries")).alias("entries")).alias("_list"))
+        table.append(change, lists, 0, batch_id, keep_empty=False)        # most batches run for the timers alone
         change.next.batches["0"] = batch_id
         change.publish(batch_id=batch_id)
 
@@ -188,12 +230,13 @@ class RecentStore:
 
 
 def note_touches(folder: str) -> Callable[[DataFrame, int], None]:
-    """Writes a batch's touches to a folder of its own; once per batch.  A
-    write that broke off is done again: the same touches twice change no list."""
+    """Writes a batch's newest touches to a folder of its own, a row per device;
+    once per batch.  A write that broke off is done again: the same touches
+    twice change no list."""
     def write(batch: DataFrame, batch_id: int) -> None:
         files = Files(batch.sparkSession, folder)
         if not files.exists(f"{batch_id:012d}/_SUCCESS"):
-            batch.select(F.lit(batch_id).cast("bigint").alias("batch"), *STORED, *PLACES) \
+            newest_touches(batch).select(F.lit(batch_id).cast("bigint").alias("batch"), "device_id", "entries") \
                 .write.mode("overwrite").parquet(f"{folder}/{batch_id:012d}")
     return write
 
@@ -219,8 +262,8 @@ class RecentQuery:
 def start(spark: SparkSession, source: str, store: RecentStore, checkpoint: str, *, kafka_servers: str | None = None,
           max_per_trigger: int | None = None, processing_time: Callable[[DataFrame], Column] | None = None,
           interval: str = "1 second", ttl_ms: int = CACHE_TTL_SECONDS * 1000,
-          id_ttl_days: int | None = None) -> RecentQuery:
-    """Start the stream of recent lists.
+          id_ttl_days: int | None = None, lists_interval: str | None = None) -> RecentQuery:
+    """Start the stream of recent lists (``lists_interval``: their own trigger).
 
     It runs until stopped: state with processing-time timers asks for a batch
     at every trigger, so an ``availableNow`` run of it would never end
@@ -230,14 +273,15 @@ def start(spark: SparkSession, source: str, store: RecentStore, checkpoint: str,
     files = Files(spark, folder)
     files.fs.mkdirs(files._path(""))
     stream = raw_stream(spark, source, kafka_servers=kafka_servers, max_per_trigger=max_per_trigger)
-    ids = (touched(R.valid_deliveries(R.route(stream, processing_time)), id_ttl_days).writeStream
+    valid = R.valid_deliveries(R.decided(R.route(stream, processing_time)))
+    ids = (touched(valid, id_ttl_days).writeStream
            .option("checkpointLocation", f"{checkpoint}/ids").outputMode("update")
            .foreachBatch(note_touches(folder)).trigger(processingTime=interval).start())
     touches = spark.readStream.schema(TOUCHES).option("recursiveFileLookup", "true") \
         .option("ignoreMissingFiles", "true").option("cleanSource", "delete").parquet(folder)
     lists = (recent_lists(touches, ttl_ms=ttl_ms).writeStream
              .option("checkpointLocation", f"{checkpoint}/lists").outputMode("append")
-             .foreachBatch(store.add).trigger(processingTime=interval).start())
+             .foreachBatch(store.add).trigger(processingTime=lists_interval or interval).start())
     return RecentQuery(ids, lists, id_ttl_days is not None)
 
 
@@ -248,12 +292,13 @@ def _progress(query) -> tuple[int, int, int]:
 
 
 def run_until_idle(query: RecentQuery, seconds: float = 600.0) -> None:
-    """Let a stream work through what its source has, then stop it.  The ids
+    """Let a stream work through what its source has, then stop it; at most
+    ``seconds`` (``math.inf``: as long as it takes).  The ids
     are through when no data is available to them; the lists when a batch
     that began after that has no input.  The first batch after a start does
     not count, as it may repeat one that was not committed."""
     end, through = time.monotonic() + seconds, None
-    watch = Timer(seconds, query.ids.stop)                # processAllAvailable has no time limit
+    watch = Timer(min(seconds, TIMEOUT_MAX), query.ids.stop)    # processAllAvailable has no time limit
     watch.start()
     try:
         while query.timed and query.isActive and time.monotonic() < end:
@@ -289,19 +334,23 @@ def replayed(spark: SparkSession, log: DataFrame, start_at: Column, slices, inte
     cores = spark.sparkContext.defaultParallelism
     files, partitions = files or cores, partitions or cores
     root = f"{checkpoint_dir(spark).rstrip('/')}/recent-{uuid.uuid4().hex}"
-    for low, high in slices:
+    written = Files(spark, root)
+    for i, (low, high) in enumerate(slices, 1):
         part = log
         if low is not None:
             part = part.filter(F.col("timestamp") >= start_at + F.expr(interval.format(low)))
         if high is not None:
             part = part.filter(F.col("timestamp") < start_at + F.expr(interval.format(high)))
-        part.repartition(files).write.mode("append").parquet(f"{root}/log")    # later files, later batches
+        part.repartition(files, "partition", "offset").write.mode("append").parquet(f"{root}/log")   # later files, later batches
+        there = sum(name.endswith(".parquet") for name in written.names("log"))
+        for _ in range(i * files - there):                # a small slice fills fewer files: none of the next one's in its batch
+            part.limit(0).write.mode("append").parquet(f"{root}/log")
     store, key = RecentStore(f"{root}/tables"), "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     spark.conf.set(key, str(partitions))
     try:
         run_until_idle(start(spark, f"{root}/log", store, f"{root}/checkpoint", max_per_trigger=files,
-                             interval="0 seconds"), 3600)
+                             interval="0 seconds", lists_interval="3 seconds"), math.inf)
     finally:
         spark.conf.set(key, before)
     return store.read(spark)

@@ -55,9 +55,12 @@ class Bucketed:
                                   if name.startswith("bucket="))
         return entry
 
-    def append(self, change: Change, rows: DataFrame, run: int, batch_id: int) -> list[dict]:
-        """Add a batch's rows and fold full tiers; the folders added."""
+    def append(self, change: Change, rows: DataFrame, run: int, batch_id: int, keep_empty: bool = True) -> list[dict]:
+        """Add a batch's rows and fold full tiers; the folders added.
+        ``keep_empty``: a folder without rows is one of a tier, too."""
         added = [self.write(change, rows, run, batch_id)]
+        if not (added[0]["rows"] or keep_empty):
+            return []
         change.add(self.table, added[0])
         level = 0
         while True:
